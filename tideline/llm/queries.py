@@ -6,14 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .language_id import language_report
+from .sharding import shard_report
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_external_shuffle": op3_external_shuffle,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE = {
