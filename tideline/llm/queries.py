@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import contamination_report
 from .exact_dedup import exact_dedup
 from .language_id import language_report
 from .sharding import shard_report
@@ -18,6 +19,10 @@ def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_external_shuffle": op3_external_shuffle,
+    "op4_decontamination": op4_decontamination,
     "op9_language_id": op9_language_id,
 }
 
@@ -38,4 +44,29 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, sha256(body) AS text_sha256 FROM r
     """,
+    "op4_decontamination": r"""
+        WITH b0 AS (
+            SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), b AS (
+            SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS win
+            FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b0 WHERE len(w) > 0)
+        ), d AS (
+            SELECT doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), g AS (
+            SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM b) WHERE len(w) >= k
+        ), m AS (
+            SELECT doc_id, g.i, g.k, item FROM g JOIN b ON b.k = g.k AND b.win = array_to_string(g.w[g.i : g.i + g.k - 1], ' ')
+        ), p AS (
+            SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS pos FROM m) GROUP BY doc_id
+        ), s AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN p USING (doc_id) LEFT JOIN s USING (doc_id)
+    """,
 }
