@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontamination import contamination_report
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_classes
 from .language_id import language_report
 from .sharding import shard_report
 
@@ -27,11 +28,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_external_shuffle": op3_external_shuffle,
     "op4_decontamination": op4_decontamination,
     "op9_language_id": op9_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE = {
@@ -69,4 +75,23 @@ ORACLE = {
             sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM d LEFT JOIN p USING (doc_id) LEFT JOIN s USING (doc_id)
     """,
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), t AS (
+            SELECT array_to_string(w, ' ') AS body, any_value(w) AS w, min(doc_id) AS rep, count(*) AS copies FROM w WHERE len(w) > 0 GROUP BY 1
+        ), g AS (
+            SELECT DISTINCT rep, array_to_string(w[i : i + 4], ' ') AS gram FROM (SELECT rep, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM t)
+        ), n AS (SELECT rep, count(*) AS n FROM g GROUP BY rep), l AS (
+            SELECT x.rep AS a, y.rep AS b FROM g x JOIN g y ON x.gram = y.gram AND x.rep <> y.rep JOIN n p ON p.rep = x.rep JOIN n q ON q.rep = y.rep
+            GROUP BY x.rep, y.rep, p.n, q.n HAVING count(*) >= 0.8 * (p.n + q.n - count(*)) - 1e-9
+        ), c AS (
+            SELECT rep AS id, rep AS label FROM t UNION SELECT l.b, c.label FROM c JOIN l ON l.a = c.id WHERE c.label < l.b
+        ), k AS (SELECT id, min(label) AS class_id FROM c GROUP BY id), s AS (
+            SELECT l.a, count(*) AS n_texts, sum(t.copies)::BIGINT AS stands FROM l JOIN t ON t.rep = l.b GROUP BY l.a
+        )
+        SELECT w.doc_id, coalesce(k.class_id, w.doc_id) AS class_id, coalesce(t.rep, w.doc_id) AS copy_of,
+            coalesce(s.stands, 0) + coalesce(t.copies, 1) - 1 AS n_links, coalesce(s.n_texts, 0) AS n_texts
+        FROM w LEFT JOIN t ON len(w.w) > 0 AND t.body = array_to_string(w.w, ' ') LEFT JOIN k ON k.id = t.rep LEFT JOIN s ON s.a = t.rep
+    """,
 }
