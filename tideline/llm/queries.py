@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import format_report
 from .common import table
 from .decontamination import contamination_report
 from .exact_dedup import exact_dedup
@@ -16,6 +17,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
+    return format_report(rows.unionByName(own))
+
+
 def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
 
@@ -34,6 +42,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_chat_format": op2_chat_format,
     "op3_external_shuffle": op3_external_shuffle,
     "op4_decontamination": op4_decontamination,
     "op9_language_id": op9_language_id,
@@ -94,4 +103,20 @@ ORACLE = {
             coalesce(s.stands, 0) + coalesce(t.copies, 1) - 1 AS n_links, coalesce(s.n_texts, 0) AS n_texts
         FROM w LEFT JOIN t ON len(w.w) > 0 AND t.body = array_to_string(w.w, ' ') LEFT JOIN k ON k.id = t.rep LEFT JOIN s ON s.a = t.rep
     """,
+    "op2_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), e AS (
+            SELECT *, length(text) + length(text) - length(replace(text, '~', ''))
+                + len(regexp_extract_all(text, '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'))
+                + length(role) + 12 + 1 + 10 + 1 AS chars
+            FROM c
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(chars)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
 }
