@@ -8,6 +8,7 @@ from .chat_format import format_report
 from .common import table
 from .decontamination import contamination_report
 from .exact_dedup import exact_dedup
+from .hmm_scoring import score_report
 from .jaccard_join import jaccard_classes
 from .language_id import language_report
 from .sharding import shard_report
@@ -32,6 +33,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_report(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_external_shuffle": op3_external_shuffle,
     "op4_decontamination": op4_decontamination,
+    "op6_hmm_scoring": op6_hmm_scoring,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
 }
