@@ -11,6 +11,8 @@ from .exact_dedup import exact_dedup
 from .hmm_scoring import score_report
 from .jaccard_join import jaccard_classes
 from .language_id import language_report
+from .line_dedup import line_report
+from .merge_dropout import codec_report
 from .sharding import shard_report
 
 
@@ -37,6 +39,14 @@ def op6_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_report(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_report(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
@@ -51,6 +61,8 @@ QUERIES = {
     "op3_external_shuffle": op3_external_shuffle,
     "op4_decontamination": op4_decontamination,
     "op6_hmm_scoring": op6_hmm_scoring,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_merge_dropout": op8_merge_dropout,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
 }
@@ -125,4 +137,16 @@ ORACLE = {
             sum(chars)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op7_line_dedup": r"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS site, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (
+            SELECT doc_id, site, i, lines[i] AS line, trim(lines[i], ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS body
+            FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)
+        ), b AS (SELECT body FROM l WHERE body <> '' GROUP BY body HAVING count(DISTINCT site) >= 10),
+        c AS (
+            SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (b.body IS NULL) AS clean, count(b.body) AS n_removed, count(*) AS n_lines
+            FROM l LEFT JOIN b USING (body) GROUP BY doc_id
+        )
+        SELECT doc_id, n_lines, n_removed, length(coalesce(clean, '')) AS clean_chars, sha256(coalesce(clean, '')) AS clean_sha256 FROM c
+    """,
 }
