@@ -9,6 +9,7 @@ from .common import table
 from .decontamination import contamination_report
 from .exact_dedup import exact_dedup
 from .hmm_scoring import score_report
+from .html_extraction import extraction_report
 from .jaccard_join import jaccard_classes
 from .language_id import language_report
 from .line_dedup import line_report
@@ -35,6 +36,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction_report(table(spark, sf_dir, "pages"))
+
+
 def op6_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_report(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op3_external_shuffle": op3_external_shuffle,
     "op4_decontamination": op4_decontamination,
+    "op5_html_extraction": op5_html_extraction,
     "op6_hmm_scoring": op6_hmm_scoring,
     "op7_line_dedup": op7_line_dedup,
     "op8_merge_dropout": op8_merge_dropout,
