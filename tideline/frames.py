@@ -89,6 +89,11 @@ def safe_div(a: Column, b: Column, eps: float = 1e-6) -> Column:
     return F.when(F.abs(b) >= eps, F.try_divide(a, b))
 
 
+def micros(c: Column | str) -> Column:
+    """Microseconds since the epoch, of timestamps with or without a time zone."""
+    return F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))
+
+
 def zero_if_null(c: Column) -> Column:
     return F.coalesce(c.cast("double"), F.lit(0.0))
 

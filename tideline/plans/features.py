@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..findings import finding, frame
-from ..frames import Feature, Order, add_features, clean_numbers, flag_periods, safe_div, signal_periods
+from ..frames import Feature, Order, add_features, clean_numbers, flag_periods, micros, safe_div, signal_periods
 from ..functions.families import Families
 from ..policy import FAMILIES, Settings, families_of
 
@@ -191,7 +191,7 @@ def resample(df: DataFrame, rule: str, rules: dict[str, str], catalog: Catalog,
     """A dense grid of `rule` steps ("1min", "5s", "1h") from each entity's first bin to its last. Columns aggregate by their category; empty bins have nulls only; `last` leaves out nulls; metadata takes the last."""
     step = rule_seconds(rule)
     ts = order.timestamp
-    bin_ = F.timestamp_seconds(F.floor(F.unix_micros(ts) / (step * 1_000_000)) * step)
+    bin_ = F.timestamp_seconds(F.floor(micros(ts) / (step * 1_000_000)) * step)
     how = {c: rules.get(catalog.of(c), "last") for c in df.columns if c not in (ts, order.row, *order.entities)}
     at = F.struct(F.col(ts), F.col(order.row))
 
