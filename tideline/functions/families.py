@@ -158,7 +158,7 @@ class Families:
 
     def cumulative_energy(self, col: str, hours: float) -> Feature:
         w = f"__cum_{col}", F.sum(zero_if_null(F.col(col)) * hours).over(self.order.to_here)
-        return Feature(f"{col}_cumkwh", F.col(w[0]), (w,))
+        return Feature(f"{col}_cumkwh", F.col(w[0]), (), (w,))
 
     def cumulative_energy_daily(self, col: str, hours: float) -> Feature:
         """The same from midnight on. It is the lifetime sum less its value at the end of the day before, so it shares the common window."""
