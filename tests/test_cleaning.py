@@ -175,3 +175,10 @@ def test_fill_modes(telemetry, order):
     assert loose[3:5] == [3.0, 4.0] and loose[20:25] == [20.0, 21.0, 22.0, 23.0, 24.0] and loose[25] is None
     strict = values(cleaning.apply_missing(df, P, CATALOG, order, "strict"), "conditioner_inlet_temp")
     assert strict[3:5] == [3.0, 4.0] and strict[20:60] == [None] * 40
+
+
+def test_deltas_in_chunks(telemetry, order):
+    df = telemetry(30, times={4: None, 9: None, 10: None, 20: at(5)})
+    want = [tuple(r) for r in cleaning.deltas(df, order).orderBy("row").collect()]
+    assert [tuple(r) for r in cleaning.deltas(df, order, 5).orderBy("row").collect()] == want
+    assert want[0] == (0, None, None) and len(want) == 27 and (11, 8, 180.0) in want

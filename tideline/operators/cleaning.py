@@ -44,11 +44,21 @@ def _row_findings(df: DataFrame, bad: Column, order: Order, check: str, severity
 # timestamps
 
 
-def deltas(df: DataFrame, order: Order) -> DataFrame:
-    """Rows with a timestamp, in order of arrival, with the row before and the seconds since it."""
-    known = df.filter(F.col(order.timestamp).isNotNull())
-    before = F.lag(order.timestamp).over(order.by_row)
-    return known.select(*order.entities, F.col(order.row).alias("row"), F.lag(order.row).over(order.by_row).alias("row_before"), seconds(F.col(order.timestamp), before).alias("delta"))
+def deltas(df: DataFrame, order: Order, chunk_rows: int = 1_000_000) -> DataFrame:
+    """Rows with a timestamp, in order of arrival, with the row before and the seconds since it. A series without entities is taken in chunks of its ordinals; the last row of each chunk goes to the next one."""
+    ts, row = F.col(order.timestamp), F.col(order.row)
+    known = df.filter(ts.isNotNull()).select(*order.entities, ts.alias("ts"), row.alias("row"))
+    if order.entities:
+        own = Window.partitionBy(*order.entities).orderBy("row")
+        out = known.select("*", F.lag("ts").over(own).alias("ts_before"), F.lag("row").over(own).alias("row_before"))
+    else:
+        known = known.withColumn("chunk", F.floor(F.col("row") / chunk_rows))
+        own, chunks = Window.partitionBy("chunk").orderBy("row"), Window.orderBy("chunk")
+        ends = known.groupBy("chunk").agg(F.max_by("ts", "row").alias("t"), F.max("row").alias("r"))
+        ends = ends.select("chunk", F.lag("t").over(chunks).alias("t"), F.lag("r").over(chunks).alias("r"))  # a row for each chunk
+        inside = known.select("*", F.lag("ts").over(own).alias("a"), F.lag("row").over(own).alias("b"))
+        out = inside.join(ends, "chunk").select("ts", "row", F.coalesce("a", "t").alias("ts_before"), F.coalesce("b", "r").alias("row_before"))
+    return out.select(*order.entities, "row", "row_before", seconds(F.col("ts"), F.col("ts_before")).alias("delta"))
 
 
 def detect_timestamps(df: DataFrame, p: Settings, order: Order) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..frames import Order, flag01, micros
+from ..plans.scaleout import positions, running_by
 from .cleaning import deltas
 
 #: Seconds between rows that a regular record has, and that count as a gap.
@@ -25,10 +26,10 @@ def cadence_counts(df: DataFrame, order: Order = Order()) -> DataFrame:
 def nearest_ranks(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
     """(share, value): the entry at place round(share*(n-1)) of the sorted column, halves to even. Ranks come from counts of equal values, so equal values take no room."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    upto = counted.select(F.col(value).alias("value"), "n", F.sum("n").over(Window.orderBy(value)).alias("upto"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    upto = running_by(counted.withColumnRenamed(value, "value"), "value", "n")
     asked = F.explode(F.array(*[F.struct(F.lit(float(s)).alias("share")) for s in shares])).alias("s")
-    at = F.bround(F.col("s.share") * (F.col("total") - 1), 0)
-    return upto.select("*", asked).filter((at < F.col("upto")) & (at >= F.col("upto") - F.col("n"))).select("s.share", "value")
+    at = F.bround(F.col("s.share") * (F.col("_total") - 1), 0)
+    return upto.select("*", asked).filter((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("n"))).select("s.share", "value")
 
 
 def cadence_stats(df: DataFrame, order: Order = Order()) -> DataFrame:
@@ -39,9 +40,8 @@ def cadence_stats(df: DataFrame, order: Order = Order()) -> DataFrame:
 def cadence_drift(df: DataFrame, order: Order = Order(), segments: int = 10, least: int = 100) -> DataFrame:
     """(segment, n, median_s, mean_s) of equal stretches of the record, the last with the remainder; nothing under `least` steps."""
     steps = deltas(df, order).filter(F.col("delta").isNotNull())
-    numbered = steps.select("delta", (F.row_number().over(Window.orderBy("row")) - 1).alias("i"), F.count("*").over(Window.partitionBy()).alias("n"))
-    part = F.least(F.floor(F.col("i") / F.floor(F.col("n") / segments)), F.lit(segments - 1)).cast("int")
-    return numbered.filter(F.col("n") >= least).groupBy(part.alias("segment")).agg(F.count("*").alias("n"), F.median("delta").alias("median_s"), F.avg("delta").alias("mean_s"))
+    part = F.least(F.floor(F.col("_at") / F.floor(F.col("_n") / segments)), F.lit(segments - 1)).cast("int")
+    return positions(steps, "row").filter(F.col("_n") >= least).groupBy(part.alias("segment")).agg(F.count("*").alias("n"), F.median("delta").alias("median_s"), F.avg("delta").alias("mean_s"))
 
 
 def coverage(df: DataFrame, order: Order = Order()) -> DataFrame:

@@ -28,6 +28,24 @@ def numbered(df: DataFrame, *keys: str) -> DataFrame:
     return dealt.withColumn("_i", F.row_number().over(own)).join(F.broadcast(starts), "_part").withColumn(ROW, (F.col("_from") + F.col("_i") - 1).cast("long")).drop("_part", "_from", "_i")
 
 
+def positions(df: DataFrame, row: str = ROW, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """df with _at, the place of each row from 0 by its ordinal (which may have holes), and _n, the number of rows."""
+    own = df.withColumn(CHUNK, F.floor(F.col(row) / chunk_rows))
+    sizes = own.groupBy(CHUNK).agg(F.count("*").alias("_k"))
+    starts = sizes.select(CHUNK, (F.sum("_k").over(Window.orderBy(CHUNK)) - F.col("_k")).alias("_from"), F.sum("_k").over(Window.partitionBy()).alias("_n"))  # a row for each chunk
+    inside = F.row_number().over(Window.partitionBy(CHUNK).orderBy(row))
+    return own.withColumn("_i", inside).join(starts, CHUNK).withColumn("_at", F.col("_from") + F.col("_i") - 1).drop(CHUNK, "_i", "_from")
+
+
+def running_by(df: DataFrame, key: str, value: str) -> DataFrame:
+    """df with _upto, the sum of value over all rows up to each in order of key (which is unique), and _total."""
+    dealt = materialise(df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = dealt.groupBy("_part").agg(F.sum(value).alias("_s"))
+    starts = sums.select("_part", (F.sum("_s").over(Window.orderBy("_part")) - F.col("_s")).alias("_from"), F.sum("_s").over(Window.partitionBy()).alias("_total"))  # a row for each partition
+    inside = F.sum(value).over(Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
+    return dealt.withColumn("_in", inside).join(F.broadcast(starts), "_part").withColumn("_upto", F.col("_from") + F.col("_in")).drop("_part", "_from", "_in")
+
+
 def in_chunks(df: DataFrame, halo: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """df with each row in its chunk, and the last `halo` rows of each chunk again, marked, before the next one."""
     own = F.floor(F.col(ROW) / chunk_rows)
