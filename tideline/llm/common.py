@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
-import tempfile
-import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import materialise, scratch_path, shared_dir
+
+__all__ = ["ascii_lower", "fresh", "in_fold", "materialise", "partitions", "release", "scratch_path", "shared_dir", "sized", "table", "tidy", "worker_cpu_bound"]
+
 #: Rows that a side may have at most to be broadcast; beyond it the join is shuffled.
 BROADCAST_ROWS = 400_000
 
@@ -21,38 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset, as in tests, one is made."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    made = getattr(spark, "_tideline_dir", None)
-    if made is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        made = spark._tideline_dir = tempfile.mkdtemp(prefix="tideline-")
-    return f"file://{made}"
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it is deleted when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/tideline/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(hadoop.getParent())
-    fs.deleteOnExit(hadoop)
-    return path
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation of what came before."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """The side of a join, with a broadcast hint only if its counted rows are within the limit. df must be cheap to count: a materialised table."""
     n = df.count() if rows is None else rows
@@ -81,6 +56,28 @@ def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus == remainder
 
 
+def release() -> None:
+    """Give memory that a Python worker no longer uses back to the system: workers outlive their tasks, and share the executor's memory with the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator], *forget: Callable[[], None]) -> Callable[[Iterator], Iterator]:
+    """A function for mapInArrow that leaves nothing behind in the worker when its partition ends."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            for f in forget:
+                f()
+            release()
+
+    return wrapped
+
+
 def worker_cpu_bound() -> None:
     """Numeric libraries in a Python worker use one thread: the executor's cores belong to its tasks."""
     for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):

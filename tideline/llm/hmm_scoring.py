@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, materialise, worker_cpu_bound
+from .common import in_fold, materialise, tidy, worker_cpu_bound
 
 STATES = 8
 #: Tokens with emission probabilities of their own.
@@ -82,7 +82,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def token_counts(texts: DataFrame) -> DataFrame:
     """(token, n) over all rows of a table with one column of text; the end of a text is the empty token."""
-    return texts.mapInArrow(_count, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(_count), "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -265,12 +265,12 @@ def hmm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
         model = model.estimate(model.forward(first, True)[1], share)
     shared = context.broadcast(lexicon)
     for _ in range(rounds if ends else 0):
-        sums = training.mapInArrow(_expect(shared, context.broadcast(model)), "block int, counts binary")
-        sums = sums.repartition(8, "block").mapInArrow(_add, "block int, counts binary")
+        sums = training.mapInArrow(tidy(_expect(shared, context.broadcast(model))), "block int, counts binary")
+        sums = sums.repartition(8, "block").mapInArrow(tidy(_add), "block int, counts binary")
         blocks = {r.block: np.frombuffer(r.counts, "<f8") for r in sums.toLocalIterator()}
         model = model.estimate(np.concatenate([blocks[b] for b in sorted(blocks)]), share)
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = own.mapInArrow(_score(shared, context.broadcast(model)), f"row bigint, id {kind}, held_out boolean, n_tokens bigint, seen bigint, others bigint, known double, inside double, log double, rest array<struct<token:binary,k:bigint>>")
+    scored = own.mapInArrow(tidy(_score(shared, context.broadcast(model))), f"row bigint, id {kind}, held_out boolean, n_tokens bigint, seen bigint, others bigint, known double, inside double, log double, rest array<struct<token:binary,k:bigint>>")
     scored = materialise(scored, "scored")
     rest = scored.select("row", F.explode("rest").alias("r")).select("row", "r.token", "r.k")
     rare = words.filter(F.col("n") < least)

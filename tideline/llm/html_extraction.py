@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 TRAINING_PAGES = 300
 EPOCHS = 6
 SEED = 5
@@ -319,7 +321,7 @@ def extract(pages: DataFrame, keys: list[str], html_col: str = "html") -> DataFr
     """A row for each row of pages: the key columns and text."""
     rows = pages.select(*keys, F.col(html_col).alias("html_"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_extract(pages.sparkSession.sparkContext.broadcast(trained())), f"{schema}, text string")
+    return rows.mapInArrow(tidy(_extract(pages.sparkSession.sparkContext.broadcast(trained()))), f"{schema}, text string")
 
 
 def extraction_report(pages: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, sized, worker_cpu_bound
+from .common import materialise, partitions, sized, tidy, worker_cpu_bound
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -84,6 +84,10 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+def forget_tables() -> None:
+    _POWERS.clear()
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words in order, and how many each text has."""
     raw = _FOLDS[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
@@ -295,7 +299,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands, rows = choose_bands(threshold, recall)
     ids = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = materialise(texts.mapInArrow(_sign(n, bands, rows, seed), f"id {ids}, node binary, size bigint, bands array<bigint>"), "signatures")
+    signed = materialise(texts.mapInArrow(tidy(_sign(n, bands, rows, seed), forget_tables), f"id {ids}, node binary, size bigint, bands array<bigint>"), "signatures")
     # texts of the same words: one node, which has the same bands in every row
     nodes = materialise(signed.filter("size > 0").groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")), "nodes")
     spread = nodes.select("node", "rep", "copies", F.posexplode("bands").alias("band", "hash"), "bands")
@@ -306,13 +310,13 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = materialise(kept.select("band", "hash", F.ceil(F.col("m") / block).cast("int").alias("blocks")), "buckets")
     members = materialise(spread.join(sized(kept), ["band", "hash"]), "members")
     wanted = materialise(members.select(F.col("rep").alias("wanted")).distinct(), "wanted")
-    sets = texts.join(sized(wanted), F.col("id").eqNullSafe(F.col("wanted")), "left_semi").mapInArrow(_grams(n), "node binary, grams binary")
+    sets = texts.join(sized(wanted), F.col("id").eqNullSafe(F.col("wanted")), "left_semi").mapInArrow(tidy(_grams(n), forget_tables), "node binary, grams binary")
     sets = materialise(sets.groupBy("node").agg(F.any_value("grams").alias("grams")), "sets")
     own = F.pmod(F.xxhash64(F.lit(seed), "node"), F.col("blocks")).cast("int")
     paired = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select("band", "hash", "node", "copies", "bands", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     dealt = paired.join(sets, "node").repartition(2 * partitions(docs.sparkSession), "band", "hash", "i", "j").sortWithinPartitions("band", "hash", "i", "j")
-    found = materialise(dealt.mapInArrow(_verify(threshold), "node binary, links bigint, stands bigint, root binary"), "links")
+    found = materialise(dealt.mapInArrow(tidy(_verify(threshold)), "node binary, links bigint, stands bigint, root binary"), "links")
     label = components(found.select(F.col("node").alias("id"), "root"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("stands").alias("stands"))
     some = materialise(label.withColumnRenamed("id", "node").join(counts, "node", "left").join(nodes.select("node", "rep", "copies"), "node", "right").filter("copies > 1 or label is not null"), "linked")

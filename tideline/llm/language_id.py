@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, worker_cpu_bound
+from .common import in_fold, tidy, worker_cpu_bound
 
 DIMENSIONS = 512
 #: Labelled rows that prototypes are learned from, at most about.
@@ -53,7 +53,7 @@ class Space:
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED):
         worker_cpu_bound()
         self.dimensions, self.seed = dimensions, seed
-        self._forget()
+        self.forget()
         self._lanes = np.arange(dimensions // 64, dtype=np.uint64) + np.uint64(seed << 20)
 
     def letters(self, points: np.ndarray) -> np.ndarray:
@@ -83,7 +83,7 @@ class Space:
             at = self._table[codes]
         return at
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         """Start with no letters and n-grams at hand; what is kept between texts is bounded."""
         self._ids = np.zeros(0x110000, np.uint8)
         self._alphabet, self._letters = np.full(128, _BLANK, np.uint64), 1
@@ -108,7 +108,7 @@ class Space:
         ids = self._ids[letters]
         if len(new := np.unique(letters[(ids == 0) & (letters != _BLANK)])):
             if len(self._vectors) > 50_000 or self._letters + len(new) > 128:
-                self._forget()
+                self.forget()
                 new = np.unique(letters[letters != _BLANK])
             if len(new) <= 127 - self._letters:
                 self._alphabet[self._letters : self._letters + len(new)] = new
@@ -207,7 +207,7 @@ def prototypes(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, s
     share = min(1.0, sample / max(1, usable.count()))
     if share < 1:
         usable = usable.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000))
-    sums = usable.select(F.col(lang_col), F.col(text_col)).mapInArrow(_learn(space), "lang string, at int, x double").groupBy("lang", "at").agg(F.sum("x").alias("x"))
+    sums = usable.select(F.col(lang_col), F.col(text_col)).mapInArrow(tidy(_learn(space), space.forget), "lang string, at int, x double").groupBy("lang", "at").agg(F.sum("x").alias("x"))
     out: dict[str, np.ndarray] = {}
     for row in sums.toLocalIterator():
         out.setdefault(row.lang, np.zeros(space.dimensions))[row.at] = row.x
@@ -236,7 +236,7 @@ def identify(docs: DataFrame, known: dict[str, np.ndarray], keys: list[Column],
     rows = docs.select(*keys, text.alias("text_"))
     profile = np.stack(list(known.values())) if known else np.zeros((1, space.dimensions))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_predict(space, list(known), profile), f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(tidy(_predict(space, list(known), profile), space.forget), f"{schema}, lang_pred string, score double")
 
 
 def language_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -260,4 +260,4 @@ def with_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             named = np.array([x != "und" for x in found.column(0).to_pylist()], bool)
             yield batch.filter(pa.array(named & (scores >= LEAST_SCORE)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep, space.forget), docs.schema)

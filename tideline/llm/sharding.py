@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fresh, materialise, partitions, sized
+from .common import fresh, materialise, partitions, sized, tidy
 
 #: Bytes of text that a bucket should hold.
 BUCKET_BYTES = 16 << 20
@@ -94,7 +94,7 @@ def external_shuffle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # in one bucket: by hash, and by the remaining values where ids repeat
     ties = [F.col(id_col), F.xxhash64(*[F.col(f.name) for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)])]
     dealt = scattered.repartition(max(partitions(spark), min(buckets, 100_000)), F.col(bucket_col)).sortWithinPartitions(bucket_col, order_col, *ties)
-    shuffled = dealt.mapInArrow(_shuffle(bucket_col, order_col, at_col, seed, to_arrow_schema(inner)), inner)
+    shuffled = dealt.mapInArrow(tidy(_shuffle(bucket_col, order_col, at_col, seed, to_arrow_schema(inner))), inner)
     at = f"(`{start_col}` + `{at_col}`)"
     shard = F.expr(f"{at} * {shards} div `{total_col}`")
     slot = F.expr(f"{at} - (({at} * {shards} div `{total_col}`) * `{total_col}` + {shards - 1}) div {shards}")
