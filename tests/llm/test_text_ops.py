@@ -58,6 +58,9 @@ def test_layouts(spark, tmp_path):
     qa = [("user", "q"), ("assistant", "a")]
     assert turns == {1: qa, 2: qa, 3: qa, 4: [("system", "s"), *qa], 5: [("user", "do\n\nit"), ("assistant", "a")], 6: [("user", "do"), ("assistant", "a")], 7: [*qa, ("user", "q2")], 8: qa, 9: None, 10: None}
     assert out[3].fingerprint != out[4].fingerprint and out[9].layout is None
+    taken = spark.createDataFrame([("q", "a", "own", "own", "own", "own")], "prompt string, response string, fingerprint string, layout string, formatted string, turns_ string")
+    (r,) = chat_format.format_chat(taken).collect()
+    assert r.formatted == "own" and r["formatted_"].count(chat_format.START) == 2 and r["layout_"] == "prompt"
 
 
 def doc_words(t):

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: Strings that steer some chat model; none may be left inside a text.
 CONTROLS = [START, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -143,24 +145,24 @@ def fingerprint(df: DataFrame, known: set[str] | None = None) -> Column:
 
 
 def canonical_turns(df: DataFrame, mappings: list[Mapping] | None = None) -> DataFrame:
-    """df with fingerprint, layout and turns (array of role and text) of each record; layout and turns are null for no known layout."""
+    """df with three more columns: fingerprint, layout and turns_ (array of role and text) of each record, renamed if df has these names; layout and turns are null for no known layout."""
     mappings = MAPPINGS if mappings is None else mappings
     paths = {p for m in mappings for p in (*m.required, *m.optional)}
     have = {p for p, _ in _leaves(df.schema)}
-    print_, layout, turns = fingerprint(df, paths), None, None
+    print_, layout, turns, own_print = fingerprint(df, paths), None, None, fresh(df, "fingerprint")
     for m in mappings:
         if not set(m.required) <= have or not _usable(m, have):
             continue
         same = None
         for own in m.paths():
             if set(own) <= have:
-                one = F.col("__print") == F.xxhash64(F.lit("\n".join(own)))
+                one = F.col(own_print) == F.xxhash64(F.lit("\n".join(own)))
                 same = one if same is None else same | one
         layout = (layout if layout is not None else F).when(same, F.lit(m.name))
         turns = (turns if turns is not None else F).when(same, m.turns(df).cast(TURNS))
     none = F.lit(None)
-    named = df.withColumn("__print", print_)
-    return named.select(*[F.col(f"`{c}`") for c in df.columns], F.col("__print").alias("fingerprint"), (layout if layout is not None else none).cast("string").alias("layout"), (turns if turns is not None else none).cast(TURNS).alias("turns_"))
+    named = df.withColumn(own_print, print_)
+    return named.select("*", (layout if layout is not None else none).cast("string").alias(fresh(df, "layout")), (turns if turns is not None else none).cast(TURNS).alias(fresh(df, "turns_")))
 
 
 def _usable(m: Mapping, have: set[str]) -> bool:
@@ -217,10 +219,11 @@ def _in_order(x: Column, y: Column) -> Column:
 
 
 def format_chat(records: DataFrame, mappings: list[Mapping] | None = None) -> DataFrame:
-    """records with fingerprint, layout, formatted and loss_spans; formatted is null for no known layout."""
+    """records with four more columns: fingerprint, layout, formatted and loss_spans, renamed if records has these names; formatted is null for no known layout."""
     named = canonical_turns(records, mappings)
-    shown = named.withColumn("formatted", render(F.col("turns_"))).drop("turns_")
-    return shown.withColumn("loss_spans", loss_spans(F.col("formatted")))
+    text, spans = fresh(records, "formatted"), fresh(records, "loss_spans")
+    shown = named.withColumn(text, render(F.col(f"`{named.columns[-1]}`"))).drop(named.columns[-1])
+    return shown.withColumn(spans, loss_spans(F.col(text)))
 
 
 def format_report(rows: DataFrame) -> DataFrame:

@@ -28,10 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+def sized(df: DataFrame, rows: int | None = None, limit: int | None = None) -> DataFrame:
     """The side of a join, with a broadcast hint only if its counted rows are within the limit. df must be cheap to count: a materialised table."""
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df
+    return F.broadcast(df) if n <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
 def fresh(df: DataFrame, base: str) -> str:

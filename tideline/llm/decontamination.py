@@ -125,7 +125,7 @@ def contamination_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of docs in which no window occurs, with all their columns."""
     index = PositionalIndex(docs, query_windows(items, item_id_col, item_text_col), id_col, text_col)
-    own = fresh(docs, "h_")
-    hits = hit_documents(index).select(F.col("id").alias("hit_id"), F.col("h").alias("hit_h"))
-    return docs.withColumn(own, F.xxhash64(text_col)).join(sized(hits), F.col(id_col).eqNullSafe(F.col("hit_id")) & (F.col(own) == F.col("hit_h")), "left_anti").drop(own)
+    own, by_id, by_h = fresh(docs, "h_"), fresh(docs, "hit_id"), fresh(docs, "hit_h")
+    hits = hit_documents(index).select(F.col("id").alias(by_id), F.col("h").alias(by_h))
+    return docs.withColumn(own, F.xxhash64(text_col)).join(sized(hits), F.col(id_col).eqNullSafe(F.col(by_id)) & (F.col(own) == F.col(by_h)), "left_anti").drop(own)
 

@@ -194,11 +194,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "losers",
     )
     repeats = materialise(keys.join(sized(groups), "sha").filter(F.col("keep_id").eqNullSafe(F.col("id"))).groupBy("id", "sha").agg(F.count("*").alias("rows")).filter("rows > 1").select("id", F.lower(F.hex("sha")).alias("sha")), "repeats")
-    own, gone = fresh(docs, "sha_"), losers.select(F.col("id").alias("lost_id"), F.col("sha").alias("lost_sha"))
+    own, by_id, by_sha = fresh(docs, "sha_"), fresh(docs, "lost_id"), fresh(docs, "lost_sha")
+    gone = losers.select(F.col("id").alias(by_id), F.col("sha").alias(by_sha))
     body = F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "[ \\t-\\r]+", ""), 256)
-    left = docs.withColumn(own, body).join(sized(gone, losers.count()), F.col(id_col).eqNullSafe(F.col("lost_id")) & (F.col(own) == F.col("lost_sha")), "left_anti")
+    left = docs.withColumn(own, body).join(sized(gone, losers.count()), F.col(id_col).eqNullSafe(F.col(by_id)) & (F.col(own) == F.col(by_sha)), "left_anti")
     if not repeats.isEmpty():
-        again = sized(repeats.select(F.col("id").alias("again_id"), F.col("sha").alias("again_sha")))
-        on = F.col(id_col).eqNullSafe(F.col("again_id")) & (F.col(own) == F.col("again_sha"))
+        again = sized(repeats.select(F.col("id").alias(by_id), F.col("sha").alias(by_sha)))
+        on = F.col(id_col).eqNullSafe(F.col(by_id)) & (F.col(own) == F.col(by_sha))
         left = left.join(again, on, "left_anti").unionByName(left.join(again, on, "left_semi").dropDuplicates([id_col, own]))
     return left.drop(own)

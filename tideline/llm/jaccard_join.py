@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, sized, tidy, worker_cpu_bound
+from .common import fresh, materialise, partitions, sized, tidy, worker_cpu_bound
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -336,5 +336,6 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is its class's smallest, with all their columns."""
     report = jaccard_classes(docs, id_col, text_col)
-    gone = materialise(report.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("gone")).distinct(), "gone")
-    return docs.join(sized(gone), F.col(id_col) == F.col("gone"), "left_anti")
+    own = fresh(docs, "gone")
+    gone = materialise(report.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias(own)).distinct(), "gone")
+    return docs.join(sized(gone), F.col(id_col) == F.col(own), "left_anti")

@@ -53,16 +53,15 @@ def spread_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
 def without_spread_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", sites: int = SITES) -> tuple[DataFrame, str, str, str]:
     """docs with three more columns, whose names follow: the text that is left, the number of lines, and of lines removed."""
     gone = spread_lines(docs, text_col, site_col, sites)
-    own, clean, n_lines, n_removed = (fresh(docs, x) for x in ("h_", "clean_text", "n_lines", "n_removed"))
+    own, clean, n_lines, n_removed, by_id, by_h, at, every = (fresh(docs, x) for x in ("h_", "clean_text", "n_lines", "n_removed", "hit_id", "hit_h", "hit_lines", "every_"))
     keyed = docs.withColumn(own, F.xxhash64(text_col))
-    lines = keyed.select(F.col(id_col).alias("hit_id"), F.col(own).alias("hit_h"), F.posexplode(_lines(F.col(text_col))).alias("at", "text"))
+    lines = keyed.select(F.col(id_col).alias(by_id), F.col(own).alias(by_h), F.posexplode(_lines(F.col(text_col))).alias("at", "text"))
     hit = lines.filter(F.length(F.btrim("text", F.lit(BLANKS))) > 0).withColumn("line", _key(F.col("text"))).join(sized(gone), "line", "left_semi")
-    hits = materialise(hit.groupBy("hit_id", "hit_h").agg(F.collect_set("at").alias("hit_lines")), "line_hits")
-    joined = keyed.join(sized(hits), F.col(id_col).eqNullSafe(F.col("hit_id")) & (F.col(own) == F.col("hit_h")), "left")
-    every = _lines(F.col(text_col))
-    left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("hit_lines"))
-    text = F.when(F.col("hit_lines").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(F.transform(left, lambda i: F.get("every_", i)), "\n"))
-    out = joined.withColumn("every_", every).select(*[F.col(f"`{c}`") for c in docs.columns], text.alias(clean), F.size("every_").cast("long").alias(n_lines), F.coalesce(F.size("hit_lines"), F.lit(0)).cast("long").alias(n_removed))
+    hits = materialise(hit.groupBy(by_id, by_h).agg(F.collect_set("at").alias(at)), "line_hits")
+    joined = keyed.join(sized(hits), F.col(id_col).eqNullSafe(F.col(by_id)) & (F.col(own) == F.col(by_h)), "left").withColumn(every, _lines(F.col(text_col)))
+    left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(at))
+    text = F.when(F.col(at).isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n"))
+    out = joined.select(*[F.col(f"`{c}`") for c in docs.columns], text.alias(clean), F.size(every).cast("long").alias(n_lines), F.coalesce(F.size(at), F.lit(0)).cast("long").alias(n_removed))
     return out, clean, n_lines, n_removed
 
 
