@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialise, scratch_path, shared_dir
 
-__all__ = ["ascii_lower", "fresh", "in_fold", "materialise", "partitions", "release", "scratch_path", "shared_dir", "sized", "table", "tidy", "worker_cpu_bound"]
+__all__ = ["ascii_lower", "fresh", "in_fold", "materialise", "partitions", "release", "scratch_path", "shared_dir", "sized", "sized_arrays", "table", "tidy", "worker_cpu_bound"]
 
 #: Rows that a side may have at most to be broadcast; beyond it the join is shuffled.
 BROADCAST_ROWS = 400_000
@@ -34,6 +34,11 @@ def sized(df: DataFrame, rows: int | None = None, limit: int | None = None) -> D
     return F.broadcast(df) if n <= (BROADCAST_ROWS if limit is None else limit) else df
 
 
+def sized_arrays(df: DataFrame, column: str, factor: int = 5) -> DataFrame:
+    """sized() for a table with an array column: entries are counted, not rows, up to factor times the limit of rows, so the bound is one of bytes too."""
+    return sized(df, df.agg(F.coalesce(F.sum(F.size(column) + 2), F.lit(0))).first()[0], factor * BROADCAST_ROWS)
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that df doesn't have yet."""
     have, name = {c.lower() for c in df.columns}, base

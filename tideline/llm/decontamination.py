@@ -22,7 +22,7 @@ from itertools import batched
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fresh, materialise, sized
+from .common import ascii_lower, fresh, materialise, sized, sized_arrays
 
 #: Consecutive words that make a window.
 WINDOW = 10
@@ -110,7 +110,7 @@ def contamination_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
     """A row for each document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
     index = PositionalIndex(docs, query_windows(items, item_id_col, item_text_col), id_col, text_col)
     hits = hit_documents(index).withColumnsRenamed({"id": "hit_id", "h": "hit_h"})
-    own = index.documents.join(sized(hits), F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")), "left")
+    own = index.documents.join(sized_arrays(hits, "items"), F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")), "left")
     found = F.coalesce("items", F.array().cast("array<string>"))
     return own.select(
         F.col("id").alias(id_col),

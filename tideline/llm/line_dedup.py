@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, sized
+from .common import fresh, materialise, sized, sized_arrays
 
 #: Sites from which on a line is boilerplate.
 SITES = 10
@@ -58,7 +58,7 @@ def without_spread_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lines = keyed.select(F.col(id_col).alias(by_id), F.col(own).alias(by_h), F.posexplode(_lines(F.col(text_col))).alias("at", "text"))
     hit = lines.filter(F.length(F.btrim("text", F.lit(BLANKS))) > 0).withColumn("line", _key(F.col("text"))).join(sized(gone), "line", "left_semi")
     hits = materialise(hit.groupBy(by_id, by_h).agg(F.collect_set("at").alias(at)), "line_hits")
-    joined = keyed.join(sized(hits), F.col(id_col).eqNullSafe(F.col(by_id)) & (F.col(own) == F.col(by_h)), "left").withColumn(every, _lines(F.col(text_col)))
+    joined = keyed.join(sized_arrays(hits, at, 20), F.col(id_col).eqNullSafe(F.col(by_id)) & (F.col(own) == F.col(by_h)), "left").withColumn(every, _lines(F.col(text_col)))
     left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(at))
     text = F.when(F.col(at).isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n"))
     out = joined.select(*[F.col(f"`{c}`") for c in docs.columns], text.alias(clean), F.size(every).cast("long").alias(n_lines), F.coalesce(F.size(at), F.lit(0)).cast("long").alias(n_removed))
