@@ -231,6 +231,14 @@ def test_language(docs):
     assert language_id.language_report(df.limit(0)).count() == 0
 
 
+def test_short_texts_keep_their_language(docs):
+    texts = [" ".join(LANGUAGES[x]) for x in LANGUAGES] * 20 + [c + "." for c in "ABCDEFGHIJKLMNOP"] + ["", "1."]
+    df = docs(texts, lang=[*list(LANGUAGES) * 20, *["aa"] * 16, None, None])
+    out = {r.doc_id: r for r in language_id.language_report(df).collect()}
+    assert any(r.score < 0.05 for r in out.values() if r.lang_pred != "und")
+    assert {r.doc_id for r in language_id.with_known_language(df).collect()} == set(range(76)) == {i for i, r in out.items() if r.lang_pred != "und"}
+
+
 def test_bundles_are_sums_of_bound_letters():
     space = language_id.Space(128)
     for text in ["Ab, c!", "漢字 кот ß" * 3, "x", "".join(map(chr, range(0x4E00, 0x4E00 + 300)))]:

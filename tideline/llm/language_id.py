@@ -34,8 +34,6 @@ TRAINING_ROWS = 12_000
 SEED = 7
 #: Letters that are counted in one go.
 PIECE = 1 << 19
-#: A text whose best cosine is below this is in none of the known languages.
-LEAST_SCORE = 0.05
 
 _BLANK = 0x20
 
@@ -247,7 +245,7 @@ def language_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def with_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of docs in a known language, with all their columns: those without letters or close to no prototype go."""
+    """The rows of docs that get a language, with all their columns: only `und` goes. A cosine of few n-grams says too little to reject a text by it."""
     known = prototypes(docs.filter(~in_fold(F.col(id_col), 3, 1)), text_col, lang_col, id_col)
     space = Space()
     profile = np.stack(list(known.values())) if known else np.zeros((1, space.dimensions))
@@ -256,8 +254,6 @@ def with_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = next(predict(iter([pa.RecordBatch.from_arrays([batch.column(at)], ["text_"])])))
-            scores = found.column(1).to_numpy(zero_copy_only=False)
-            named = np.array([x != "und" for x in found.column(0).to_pylist()], bool)
-            yield batch.filter(pa.array(named & (scores >= LEAST_SCORE)))
+            yield batch.filter(pa.array([x != "und" for x in found.column(0).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(tidy(keep, space.forget), docs.schema)
