@@ -196,6 +196,27 @@ def test_codec():
     assert a == c != b
 
 
+def test_each_occurrence_is_segmented_on_its_own(docs, monkeypatch):
+    with open(merge_dropout.MODEL, "rb") as f:
+        own = merge_dropout.codec(f.read())
+    plain = own.word("▁something", 0.0, 0)
+    for most in (merge_dropout.REMEMBERED, 1):  # with and without what earlier texts left
+        monkeypatch.setattr(merge_dropout, "REMEMBERED", most)
+        texts = ["something " * 3000 + "s" * 60 + " " + "s" * 60, *[f"something {i}" for i in range(1000)]]
+        ids = [np.frombuffer(x, "<i4").tolist() for x in own.encode(texts, 0.1, list(range(len(texts))))]
+        words = [own.word("▁something", 0.1, 0, n) for n in range(3000)]
+        long = [own.word("▁" + "s" * 60, 0.1, 0, n) for n in range(2)]
+        assert ids[0] == [x for w in [*words, *long] for x in w] and long[0] != long[1]
+        across = [own.word("▁something", 0.1, k) for k in range(1, 1001)]
+        assert all(got[: len(w)] == w for got, w in zip(ids[1:], across, strict=True))
+        for found in (words, across):
+            assert len(set(map(tuple, found))) > 5 and 0.3 < sum(w == plain for w in found) / len(found) < 0.9
+    rows = merge_dropout.encode(docs([f"something {i}" for i in range(300)] + ["something 0"]), ids_col="own_ids").collect()
+    assert len({r.own_ids[0] for r in rows}) > 2
+    by = {r.doc_id: r.own_ids for r in rows}
+    assert by[0] == by[300]
+
+
 def test_codec_tables(docs):
     df = docs([None, *CODEC_TEXTS]).withColumnRenamed("keep_id", "token_ids")
     both = merge_dropout.decode(merge_dropout.encode(df), "token_ids_")

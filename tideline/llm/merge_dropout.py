@@ -3,14 +3,18 @@
 A public model file of the merge type gives pieces and their order; nothing is trained.
 Encoding replaces blanks by the marker, puts one marker in front, and merges from
 single letters by an agenda: the pair with the best piece first, then the leftmost.
-A candidate that comes up is skipped if a hash keyed by seed, variant, word and
-place falls below the dropout, so segmentations vary with the key and the same key
-gives the same one everywhere. Without dropout the ids equal the public library's. What
-no piece covers becomes bytes. Decoding joins pieces and bytes and takes away the
+A candidate that comes up is skipped if a hash keyed by seed, text, word, the word's
+occurrence in the text and place falls below the dropout, so each occurrence has a
+segmentation of its own, and the same seed and text give the same ones everywhere.
+Without dropout the ids equal the public library's. What no piece covers becomes bytes. Decoding joins pieces and bytes and takes away the
 first marker, so every text comes back exactly, whatever was skipped.
 
 Pieces have markers in front only, so words (with the blanks before them) are
-encoded on their own, many together in arrays, and remembered; the memory is bounded.
+encoded on their own, many together in arrays. Which candidates come up depends only on
+the word and the skips before, so what is remembered is a tree for each word: a node has the
+ids without another skip and the candidates on the way, and each candidate leads to the
+node in which it is skipped. An occurrence goes down the tree by its own hashes, and new
+nodes are made when they are first met. The memory is bounded.
 
 Defined results: null text has null ids; empty text has none. A marker letter in the
 text itself is encoded as bytes, so it comes back as it was. Repeated rows get equal
@@ -37,16 +41,16 @@ from .common import fresh, tidy
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 3
-#: Ways in which the same word may be segmented under one seed; a text has one, by its hash.
-VARIANTS = 2
-#: Words that a worker remembers.
-REMEMBERED = 200_000
+#: Nodes that a worker remembers.
+REMEMBERED = 400_000
 MARK = "▁"
 #: Letters of a word up to which it is encoded with others, and words that are.
 LONG = 48
 TOGETHER = 8192
-#: Rows that go together.
+#: Rows that go together, and words that go down their trees together.
 ROWS = 500
+WALK = 1 << 18
+GOLDEN = 0x9E3779B97F4A7C15
 
 
 class Codec:
@@ -72,7 +76,7 @@ class Codec:
         self.mark_ids = np.array([self.byte[b] for b in MARK.encode()], "<i4").tobytes()
         joins = any(len(p) > 1 and "\n" in p for p in self.rank)
         self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if joins else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-        self.known: dict[int, dict[str, bytes]] = {}
+        self.forget()
         #: The pairs of pieces that make a piece, sorted, and what they make.
         pairs = {(self.rank[p[:i]][1] << 32) | self.rank[p[i:]][1]: own for p, (_, own) in self.rank.items() for i in range(1, len(p)) if p[:i] in self.rank and p[i:] in self.rank}
         self.pairs = np.array(sorted(pairs), np.int64)
@@ -81,30 +85,90 @@ class Codec:
         for piece, (cost, own) in self.rank.items():
             self.cost[own], self.size[own] = cost, len(piece)
 
-    def together(self, words: list[str], dropout: float, keys: list[int]) -> list[bytes]:
-        """word() for many words of up to LONG letters: each step takes every word's best candidate."""
-        out = [b""] * len(words)
+    def forget(self) -> None:
+        """Empty the memory; its first node is a marker letter of the text itself."""
+        self.roots: dict[str, int] = {"": 0}
+        #: A node and the place of a candidate on its way, to the node in which that one is skipped.
+        self.next: dict[int, int] = {}
+        self.ids, self.of, self.skipped = [self.mark_ids], [""], [()]
+        #: For each node where its candidates start, how many it has, and its word's hash.
+        self.first, self.many, self.hash = Grown(np.int64, [0]), Grown(np.int64, [0]), Grown(np.uint64, [0])
+        self.codes = Grown(np.uint64, [])
+        self.last: tuple[float, set[int]] = (0.0, set())
+
+    @property
+    def known(self) -> dict[int, dict[str, bytes]]:
+        """For each key of the last texts, what each remembered word becomes where a text first has it."""
+        dropout, keys = self.last
+        nodes = np.array(list(self.roots.values()), np.int64)
+        return {key: dict(zip(self.roots, map(self.ids.__getitem__, self._walk(nodes, salts(self.hash.data[nodes], np.uint64(key), np.zeros(len(nodes), np.uint64)), dropout).tolist()), strict=True)) for key in keys}
+
+    def _remember(self, words: list[str], skipped: list[tuple[int, ...]]) -> list[int]:
+        """New nodes: words of up to LONG letters, and their candidates that are skipped."""
+        out = [0] * len(words)
         by_length = sorted(range(len(words)), key=lambda i: len(words[i]))
         for a in range(0, len(by_length), TOGETHER):
             own = by_length[a : a + TOGETHER]
-            for i, ids in zip(own, self._together([words[i] for i in own], dropout, [keys[i] for i in own]), strict=True):
-                out[i] = ids
+            names, skips = [words[i] for i in own], [skipped[i] for i in own]
+            ids, codes, many = self._together(names, skips)
+            for i, node in zip(own, range(len(self.ids), len(self.ids) + len(own)), strict=True):
+                out[i] = node
+            self.ids += ids
+            self.of += names
+            self.skipped += skips
+            self.first.add(self.codes.n + np.cumsum(many) - many)
+            self.many.add(many)
+            self.hash.add(np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64))
+            self.codes.add(codes)
         return out
 
+    def _after(self, edges: np.ndarray) -> np.ndarray:
+        """The nodes that edges (node << 8 | place of the candidate that is skipped) lead to."""
+        own, back = np.unique(edges, return_inverse=True)
+        keys = own.tolist()
+        new = [k for k in keys if k not in self.next]
+        if new:
+            skipped = [(*self.skipped[k >> 8], int(self.codes.data[self.first.data[k >> 8] + (k & 255)])) for k in new]
+            self.next.update(zip(new, self._remember([self.of[k >> 8] for k in new], skipped), strict=True))
+        return np.array([self.next[k] for k in keys], np.int64)[back]
+
+    def _walk(self, nodes: np.ndarray, salt: np.ndarray, dropout: float) -> np.ndarray:
+        """Where each occurrence ends that starts at a word's root."""
+        nodes, bound = nodes.copy(), int(dropout * (1 << 32))
+        for a in range(0, len(nodes) if bound else 0, WALK):
+            going = np.arange(a, min(a + WALK, len(nodes)))
+            while len(going):
+                at = nodes[going]
+                many = self.many.data[at]
+                row = np.repeat(np.arange(len(going)), many)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                hit = np.flatnonzero(_mix_all(salt[going][row] + self.codes.data[self.first.data[at][row] + place]) < bound)
+                row, hit = row[hit], place[hit]
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                row, hit = row[first], hit[first]
+                going = going[row]
+                nodes[going] = self._after((at[row] << 8) | hit)
+        return nodes
+
     def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece that each pair makes; -1 for none, which has no end of cost."""
         key = (left.astype(np.int64) << 32) | right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((left >= 0) & (right >= 0) & (self.pairs[at] == key), self.makes[at], -1)
 
-    def _together(self, words: list[str], dropout: float, keys: list[int]) -> list[bytes]:
-        width, bound = len(words[-1]) + 1, int(dropout * (1 << 32))
+    def _together(self, words: list[str], skipped: list[tuple[int, ...]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The ids of each word, sorted by length, if just these candidates are skipped; and the candidates that come up after them, with how many each word has. Each step takes every word's best candidate."""
+        width = len(words[-1]) + 1
+        n_skipped = np.array([len(x) for x in skipped])
+        skips = np.zeros((len(words), n_skipped.max()), np.uint64)  # no candidate is 0
+        for i in np.flatnonzero(n_skipped).tolist():
+            skips[i, : n_skipped[i]] = skipped[i]
+        met, way_rows, way_codes = np.zeros(len(words), np.int64), [], []
         letters = np.full((len(words), width), -1, np.int32)
         single = {c: self.rank[c][1] if c in self.rank else -2 - k for k, c in enumerate(sorted(set("".join(words))))}
         names = {v: c for c, v in single.items()}
         for i, w in enumerate(words):
             letters[i, : len(w)] = [single[c] for c in w]
-        salts = np.array([xxhash.xxh64_intdigest(w, k) for w, k in zip(words, keys, strict=True)], np.uint64)
         place = np.broadcast_to(np.arange(width, dtype=np.uint64), letters.shape).copy()
         made = np.full(letters.shape, -1, np.int32)
         made[:, :-1] = self._made(letters[:, :-1], letters[:, 1:])
@@ -123,8 +187,13 @@ class Codec:
                 letters, place, made, cost, rows, best = letters[going], place[going], made[going], cost[going], rows[going], best[going]
                 at = np.arange(len(rows))
             piece = made[at, best]
-            if bound:
-                skip = _mix_all(salts[rows] + (place[at, best] << np.uint64(8)) + self.size[piece]) < bound
+            code = (place[at, best] << np.uint64(8)) + self.size[piece]
+            skip = (skips[rows] == code[:, None]).any(axis=1)
+            met[rows[skip]] += 1
+            later = ~skip & (met[rows] == n_skipped[rows])
+            way_rows.append(rows[later])
+            way_codes.append(code[later])
+            if skip.any():
                 cost[at[skip], best[skip]] = np.inf
                 at, best, piece = at[~skip], best[~skip], piece[~skip]
                 if not len(at):
@@ -142,21 +211,24 @@ class Codec:
                 new = self._made(letters[i, j], letters[i, np.minimum(j + 1, width - 1)])
                 made[i, j] = new
                 cost[i, j] = self.cost[new]
+        ways = np.concatenate([np.zeros(0, np.int64), *way_rows])
+        codes = np.concatenate([np.zeros(0, np.uint64), *way_codes])[np.argsort(ways, kind="stable")]
+        many = np.bincount(ways, minlength=len(words))
         flat = final[final != -1]  # row by row
         ends = np.cumsum((final != -1).sum(axis=1))
         if not (flat < -1).any():
             raw = flat.astype("<i4").tobytes()
-            return [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+            return [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], codes, many
         out = []
         for part in np.split(flat, ends[:-1]):
             ids: list[int] = []
             for x in part.tolist():
                 ids += [x] if x >= 0 else [self.byte[b] for b in names[x].encode()]
             out.append(np.array(ids, "<i4").tobytes())
-        return out
+        return out, codes, many
 
-    def word(self, word: str, dropout: float, key: int) -> list[int]:
-        """The ids of a word."""
+    def word(self, word: str, dropout: float, key: int, occurrence: int = 0) -> list[int]:
+        """The ids of a word where a text of this key has it for the nth time, from 0: by an agenda, without the memory."""
         parts: list[str | None] = list(word)
         n, rank = len(parts), self.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -170,7 +242,7 @@ class Codec:
         for i in range(n - 1):
             offer(i, i + 1)
         bound = int(dropout * (1 << 32))
-        salt = xxhash.xxh64_intdigest(word, key) if bound else 0
+        salt = int(salts(np.array([xxhash.xxh64_intdigest(word)], np.uint64), np.uint64(key), np.array([occurrence], np.uint64))[0]) if bound else 0
         while agenda:
             _, i, j, pair, _ = heapq.heappop(agenda)
             if parts[i] is None or parts[j] is None or after[i] != j or len(parts[i]) + len(parts[j]) != len(pair):
@@ -198,36 +270,70 @@ class Codec:
     def encode(self, texts: list[str | None], dropout: float, keys: list[int]) -> list[bytes]:
         """The ids of texts, as 32-bit numbers; a key for each text."""
         parts: list[list[str]] = []
-        new: dict[int, set[str]] = {key: set() for key in keys}
-        if sum(map(len, self.known.values())) >= REMEMBERED:
-            self.known.clear()
-        for text, key in zip(texts, keys, strict=True):
+        if len(self.ids) >= REMEMBERED:
+            self.forget()
+        self.last = dropout, set(keys)
+        for text in texts:
             own: list[str] = []
             for k, part in enumerate(text.split(MARK)) if text else ():
                 if k:
                     own.append("")  # a marker letter of the text itself
                 own += self.words.findall(("" if k else MARK) + part.replace(" ", MARK))
-            new[key].update(own)
             parts.append(own)
-        large: dict[int, list[str]] = {}
-        for key, own in new.items():
-            known = self.known.setdefault(key, {"": self.mark_ids})
-            fresh_words = own.difference(known)
-            short = [w for w in fresh_words if len(w) <= LONG]
-            large[key] = [w for w in fresh_words if len(w) > LONG]
-            known.update(zip(short, self.together(short, dropout, [key] * len(short)), strict=True))
-            known.update((w, np.array(self.word(w, dropout, key), "<i4").tobytes()) for w in large[key])
-        out = [b"".join(map(self.known[key].__getitem__, own)) for own, key in zip(parts, keys, strict=True)]
-        for key, own in large.items():
-            for w in own:
-                del self.known[key][w]
-        return out
+        every = [w for own in parts for w in own]
+        new = set(every).difference(self.roots)
+        short, large = [w for w in new if len(w) <= LONG], sorted(w for w in new if len(w) > LONG)
+        self.roots.update(zip(short, self._remember(short, [()] * len(short)), strict=True))
+        far = {w: -1 - k for k, w in enumerate(large)}
+        nodes = np.fromiter((far[w] if w in far else self.roots[w] for w in every) if far else map(self.roots.__getitem__, every), np.int64, len(every))
+        sizes = [len(own) for own in parts]
+        text = np.repeat(np.arange(len(parts)), sizes)
+        nth = occurrences((text << 40) + nodes + len(far))
+        there = np.flatnonzero(nodes >= 0)
+        salt = salts(self.hash.data[nodes[there]], np.array(keys, np.uint64)[text[there]], nth[there])
+        nodes[there] = self._walk(nodes[there], salt, dropout)
+        got = [self.ids[k] for k in nodes.tolist()] if not far else [self.ids[k] if k >= 0 else b"" for k in nodes.tolist()]
+        for i in np.flatnonzero(nodes < 0).tolist():
+            got[i] = np.array(self.word(every[i], dropout, keys[text[i]], int(nth[i])), "<i4").tobytes()
+        ends = np.cumsum([0, *sizes]).tolist()
+        return [b"".join(got[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join([self.out[i] for i in ids.tolist()])
         return raw[1:].decode() if len(ids) else ""
 
 
+class Grown:
+    """An array that rows are added to."""
+
+    def __init__(self, kind, rows: list[int]):
+        self.data, self.n = np.zeros(1024, kind), 0
+        self.add(np.array(rows, kind))
+
+    def add(self, rows: np.ndarray) -> None:
+        if self.n + len(rows) > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros(self.n + 2 * len(rows), self.data.dtype)])
+        self.data[self.n : self.n + len(rows)] = rows
+        self.n += len(rows)
+
+
+def occurrences(x: np.ndarray) -> np.ndarray:
+    """How often each value has come up before."""
+    order = np.argsort(x, kind="stable")
+    new = np.flatnonzero(np.diff(x[order], prepend=-1))
+    out = np.empty(len(x), np.uint64)
+    out[order] = np.arange(len(x)) - np.repeat(new, np.diff(new, append=len(x)))
+    return out
+
+
+def salts(words: np.ndarray, keys, nth: np.ndarray) -> np.ndarray:
+    """From hashes of words, keys of texts, and how often the text had the word before."""
+    x = words ^ (keys + nth * np.uint64(GOLDEN))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _mix(x: int) -> int:
     """32 bits of a keyed hash."""
     x &= 0xFFFFFFFFFFFFFFFF
@@ -245,15 +351,14 @@ def codec(model: bytes) -> Codec:
     return Codec(model)
 
 
-def _encode(model, at: int, dropout: float, seed: int, variants: int, schema: pa.Schema):
+def _encode(model, at: int, dropout: float, seed: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model.value)
-        keys = [xxhash.xxh64_intdigest(str(v), seed) for v in range(variants)]
         for batch in batches:
             for a in range(0, batch.num_rows, ROWS):
                 part = batch.slice(a, ROWS)
                 texts = part.column(at).to_pylist()
-                ids = own.encode(texts, dropout, [keys[xxhash.xxh32_intdigest(t or "", seed) % variants] for t in texts])
+                ids = own.encode(texts, dropout, [xxhash.xxh64_intdigest(t or "", seed) for t in texts])
                 ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")), mask=pa.array([t is None for t in texts]))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists.cast(schema.field(len(part.columns)).type)], schema=schema)
@@ -261,12 +366,12 @@ def _encode(model, at: int, dropout: float, seed: int, variants: int, schema: pa
     return run
 
 
-def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, ids_col: str = "token_ids") -> DataFrame:
+def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, ids_col: str = "token_ids") -> DataFrame:
     """docs and a column of token ids (renamed if docs has its name)."""
     with open(model_path, "rb") as f:  # the driver's copy; executors get it by broadcast
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = T.StructType([*docs.schema.fields, T.StructField(fresh(docs, ids_col), T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(tidy(_encode(model, docs.columns.index(text_col), dropout, seed, variants, to_arrow_schema(schema)), lambda: codec(model.value).known.clear()), schema)
+    return docs.mapInArrow(tidy(_encode(model, docs.columns.index(text_col), dropout, seed, to_arrow_schema(schema)), lambda: codec(model.value).forget()), schema)
 
 
 def _decode(model, at: int, schema: pa.Schema):
@@ -291,16 +396,16 @@ def decode(encoded: DataFrame, ids_col: str = "token_ids", model_path: str = MOD
     return encoded.mapInArrow(tidy(_decode(model, encoded.columns.index(ids_col), to_arrow_schema(schema))), schema)
 
 
-def round_trip(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def round_trip(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """decode(encode(docs)) in one pass: one Python worker for each task instead of two."""
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     ids, text = fresh(docs, "token_ids"), fresh(docs, "decoded")
     with_ids = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     schema = T.StructType([*with_ids.fields, T.StructField(text, T.StringType())])
-    there = _encode(model, docs.columns.index(text_col), dropout, seed, variants, to_arrow_schema(with_ids))
+    there = _encode(model, docs.columns.index(text_col), dropout, seed, to_arrow_schema(with_ids))
     back = _decode(model, len(docs.columns), to_arrow_schema(schema))
-    return docs.mapInArrow(tidy(lambda batches: back(there(batches)), lambda: codec(model.value).known.clear()), schema)
+    return docs.mapInArrow(tidy(lambda batches: back(there(batches)), lambda: codec(model.value).forget()), schema)
 
 
 def codec_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
