@@ -173,6 +173,27 @@ def test_scores(docs):
     assert hmm_scoring.score_report(docs(["a"]).limit(0)).count() == 0
 
 
+def test_rare_words_have_states(docs):
+    draw = random.Random(4)
+    topics = [(["aa", "ab", "ac"], [f"ra{i}" for i in range(20)]), (["ba", "bb", "bc"], [f"rb{i}" for i in range(20)])]
+
+    def say(own, rare):
+        return " ".join(w for _ in range(12) for w in (*draw.choices(own, k=4), rare))
+
+    texts = [say(own, rare[i % 20]) for i in range(60) for own, rare in topics]
+    ends = [" ".join(["aa ab ac aa", "ra1", "ab aa ac ab"]), " ".join(["aa ab ac aa", "rb1", "ab aa ac ab"]), "aa never ab"]
+    held = F.col("doc_id") >= len(texts)
+    for size in (6, 12, 1000):  # rare words by the join, some, or none
+        out = {r.doc_id: r for r in hmm_scoring.hmm_scores(docs(texts + ends), held, states=2, symbols=6, dictionary=size).collect()}
+        own, other, never = (out[len(texts) + i] for i in range(3))
+        assert own.base_score == pytest.approx(other.base_score) and own.score > other.score + 0.5
+        assert never.n_known == 3 and math.isfinite(never.score)
+    # shares of a class in each state, with that of a word never seen, add up to 1
+    counts = np.random.default_rng(1).uniform(0, 3, (50, 4))
+    shares = hmm_scoring.share_of_class(np.concatenate([counts, np.zeros((1, 4))]), counts.sum(axis=0), 50)
+    assert shares.sum(axis=0) == pytest.approx(np.ones(4))
+
+
 CODEC_TEXTS = ["", "  a  b ", "x\ty\r\n z", "▁ mark▁ here", "日本語 テスト\x00", "é́ ß İ", "   ", "\n\n  \n", " ▁", "a" * 3000, "👩‍👩‍👧 ok", "y" * 49 + " " + "z" * 48, "The quick brown fox; jumps, over (the) lazy dog's 12,345 tails!"]
 
 

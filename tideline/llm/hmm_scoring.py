@@ -1,19 +1,23 @@
 """Language-model scores from a hidden Markov model (operator 6).
 
 Tokens are words after lower-casing A-Z, and one end for each text. Token counts come
-from the whole training corpus. The most frequent tokens (SYMBOLS of them) are
-emitted as themselves, the end as itself, and every other word as one class, in which
-a word has the share (c+1)/(n+v+1) of the class's n tokens and v words; the 1 is
-for words never seen. So each text has an exact probability.
+from the whole training corpus. Every token of it has a probability in each state.
+While states are found, the most frequent tokens (SYMBOLS of them) and the end are
+symbols, and every other word is one class with the same shares in all states. The last
+round also counts the class's words by state: a word with expected count c in a state has
+the share (c+1/K)/(n+(v+1)/K) of the class's n expected tokens there, for v words and K
+states; the 1/K added to v words' is for words never seen. So each text has an exact
+probability, and a rare word's state depends on the word.
 
 Latent states start from a few Baum-Welch rounds on a bounded sample; then each
 round's expected counts are taken in every partition over all training texts, added
 up across partitions, and make the next model. The scaled forward recursion gives
 each text's exact likelihood; many texts take a step together.
 
-Counts of the DICTIONARY most frequent tokens travel to every executor; they cover
-most tokens. A text's remaining tokens meet the count table by a shuffle,
-pre-aggregated within the text, so the table may have any size.
+Counts of the DICTIONARY most frequent tokens, and their shares by state, travel to every
+executor; they cover most tokens. A text's remaining tokens meet the table of
+(token, count, expected counts by state) by a shuffle, once for each text, and what is
+found comes back to the text by another, so the table may have any size.
 
 Defined results: null text is empty, which is one end. Repeated rows get equal
 results. A null id hashes as empty text. With no training text every word is
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import in_fold, materialise, tidy, worker_cpu_bound
 
 STATES = 8
-#: Tokens with emission probabilities of their own.
+#: Tokens that are told apart while states are found; the others' emissions are counted in the last round.
 SYMBOLS = 8192
 #: Tokens whose counts every executor holds, at most.
 DICTIONARY = 150_000
@@ -107,8 +111,8 @@ class Hmm:
         start, move, emit = counts[:k] + 0.1, counts[k : k + k * k].reshape(k, k) + 0.1, counts[k + k * k :].reshape(-1, k) + share[:, None] * 5
         return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
-    def forward(self, texts: list[np.ndarray], backward: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Natural log-likelihood of each text (arrays of symbols, none empty), and if backward the expected counts of start, move and emit."""
+    def forward(self, texts: list[np.ndarray], backward: bool = False, words: list[np.ndarray] | None = None, by_word: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Natural log-likelihood of each text (arrays of symbols, none empty), and if backward the expected counts of start, move and emit. With words (a number for each symbol, negative for none), expected counts by word and state are added to by_word."""
         order = np.argsort([-len(t) for t in texts], kind="stable")
         found, counts = np.zeros(len(texts)), np.zeros(len(self.start) * (1 + len(self.start) + len(self.emit)))
         a = 0
@@ -117,11 +121,11 @@ class Hmm:
             while b < len(order) and (b == a or held + len(texts[order[b]]) <= STEP_TOKENS):
                 held += len(texts[order[b]])
                 b += 1
-            found[order[a:b]] = self._together([texts[i] for i in order[a:b]], counts if backward else None)
+            found[order[a:b]] = self._together([texts[i] for i in order[a:b]], counts if backward else None, [words[i] for i in order[a:b]] if words else None, by_word)
             a = b
         return found, counts
 
-    def _together(self, texts: list[np.ndarray], counts: np.ndarray | None) -> np.ndarray:
+    def _together(self, texts: list[np.ndarray], counts: np.ndarray | None, words: list[np.ndarray] | None = None, by_word: np.ndarray | None = None) -> np.ndarray:
         """The longest text comes first, so those that still go on at a step are the first ones."""
         sizes = np.array([len(t) for t in texts])
         every, starts = np.concatenate(texts), np.cumsum(sizes) - sizes
@@ -157,6 +161,12 @@ class Hmm:
             emit = counts[k + k * k :].reshape(-1, k)
             for s in range(k):
                 emit[:, s] += np.bincount(symbols, gamma[:, s], len(self.emit))
+            if words:
+                own = np.concatenate(words)[np.concatenate([starts[:n] + t for t, n in enumerate(going)])]
+                some = np.flatnonzero(own >= 0)
+                own, gamma = own[some], gamma[some]
+                for s in range(k):
+                    by_word[:, s] += np.bincount(own, gamma[:, s], len(by_word))
         return log
 
 
@@ -179,19 +189,42 @@ class Lexicon:
 
 
 def _expect(lexicon, model):
-    """Expected counts over a partition's texts, in rows of BLOCK numbers."""
+    """Expected counts over a partition's texts, in rows of BLOCK numbers: start, move, emit, and the class's words in the dictionary by state. Rows of its other words have a token, its count and expected counts by state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cpu_bound()
         own, hmm, total = lexicon.value, model.value, None
+        k, dense = len(hmm.start), len(own.place) - own.symbols
+
+        def rows(blocks, counts, names, n, g) -> pa.RecordBatch:
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(g) + 1, dtype=np.int32) * k), pa.array(g.astype(np.float32).ravel()))
+            lists = pa.concat_arrays([pa.nulls(len(blocks), lists.type), lists])
+            columns = [blocks + [None] * len(names), counts + [None] * len(names), [None] * len(blocks) + names, [None] * len(blocks) + n]
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns, [pa.int32(), pa.binary(), pa.binary(), pa.int64()]), lists], ["block", "counts", "token", "n", "g"])
+
         for batch in batches:
-            texts = [own.text(own.places(tokens(raw))) for raw in _texts(batch.column(0))]
+            texts, words = [], []
+            held: dict[bytes, int] = {}
+            for raw in _texts(batch.column(0)):
+                split = tokens(raw)
+                places = own.places(split)
+                texts.append(own.text(places))
+                places = places - own.symbols  # now negative for symbols
+                for i in np.flatnonzero(places == dense).tolist():
+                    places[i] = dense + held.setdefault(split[i], len(held))
+                words.append(np.append(places, -1))
             if texts:
-                counts = hmm.forward(texts, True)[1]
+                by_word = np.zeros((dense + len(held), k))
+                counts = hmm.forward(texts, True, words, by_word)[1]
+                counts = np.append(counts, by_word[:dense])
                 total = counts if total is None else total + counts
+                if held:
+                    every = np.concatenate(words)
+                    n = np.bincount(every[every >= dense] - dense, minlength=len(held))
+                    yield rows([], [], list(held), n.tolist(), by_word[dense:])
         if total is not None:
-            parts = [total[a : a + BLOCK].astype("<f8").tobytes() for a in range(0, len(total), BLOCK)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["block", "counts"])
+            parts = [total[a : a + BLOCK].astype("<f4").tobytes() for a in range(0, len(total), BLOCK)]
+            yield rows(list(range(len(parts))), parts, [], [], np.zeros((0, k)))
 
     return run
 
@@ -200,44 +233,78 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            sums[block] = sums.get(block, 0) + np.frombuffer(raw, "<f8")
+            sums[block] = sums.get(block, 0) + np.frombuffer(raw, "<f4").astype("<f8")
     if sums:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "counts"])
 
 
-def _score(lexicon, model):
-    """(id, held_out, text) to each text's own numbers, and the tokens that aren't in the dictionary, with counts."""
-    struct = pa.list_(pa.struct([("token", pa.binary()), ("k", pa.int64())]))
+def _encode(lexicon):
+    """(id, held_out, text) to the places of the text's tokens, and those tokens that aren't in the dictionary; the places of these count on from the dictionary's length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_cpu_bound()
-        own, hmm = lexicon.value, model.value
-        logs = np.append(np.log10(own.counts + 1.0), 0.0)
+        own = lexicon.value
         row = TaskContext.get().partitionId() << 34
         for batch in batches:
-            texts, known, seen, others, inside, rest = [], [], [], [], [], []
+            every, rest = [], []
             for raw in _texts(batch.column(2)):
                 words = tokens(raw)
-                places = own.places(words)
-                texts.append(own.text(places))
-                found = places < len(own.place)
-                known.append(logs[places].sum() + np.log10(own.ends + 1.0))
-                seen.append(int(found.sum()) + (own.ends > 0))
-                other = places >= own.symbols
-                others.append(int(other.sum()))
-                inside.append(logs[places[other]].sum())
-                rest.append([{"token": t, "k": k} for t, k in Counter(words[i] for i in np.flatnonzero(~found)).items()])
-            log = hmm.forward(texts)[0] / np.log(10) if texts else np.zeros(0)
+                places, held = own.places(words), {}
+                for i in np.flatnonzero(places == len(own.place)).tolist():
+                    places[i] += held.setdefault(words[i], len(held))
+                every.append(places.astype("<i4").tobytes())
+                rest.append(list(held))
             ids = np.arange(row, row + batch.num_rows)
             row += batch.num_rows
-            columns = [pa.array(ids), batch.column(0), batch.column(1), pa.array([len(t) for t in texts], pa.int64()), pa.array(seen, pa.int64()), pa.array(others, pa.int64()), pa.array(known, pa.float64()), pa.array(inside, pa.float64()), pa.array(log, pa.float64()), pa.array(rest, struct)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "held_out", "n_tokens", "seen", "others", "known", "inside", "log", "rest"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column(0), batch.column(1), pa.array(every, pa.binary()), pa.array(rest, pa.list_(pa.binary()))], ["row", "id", "held_out", "places", "rest"])
 
     return run
 
 
+def _score(lexicon, model, inside, own_other: np.ndarray, class_counts: np.ndarray, class_v: int, total: int):
+    """(id, held_out, places, found) to scores. inside: emissions of the dictionary's words in the class, and of a word never seen; own_other: of the class; found: what the count table has of the other words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cpu_bound()
+        own, hmm = lexicon.value, model.value
+        none, k = len(own.place), len(hmm.start)
+        # symbols, the class's words, a word never seen, the end
+        base = np.concatenate([hmm.emit[: own.symbols], inside.value, hmm.emit[own.end :]])
+        logs = np.append(np.log10(own.counts + 1.0), [0.0, np.log10(own.ends + 1.0)])
+        for batch in batches:
+            found = batch.column(3).combine_chunks() if isinstance(batch.column(3), pa.ChunkedArray) else batch.column(3)
+            sizes = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
+            flat = found.flatten()
+            at, n = flat.field("pos").to_numpy(zero_copy_only=False), flat.field("n").to_numpy(zero_copy_only=False)
+            g = flat.field("g").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+            emit = np.concatenate([base, share_of_class(g, class_counts, class_v) * own_other])
+            weight = np.concatenate([logs, np.log10(n + 1.0)])
+            texts, known, b = [], [], 0
+            for raw, size in zip(batch.column(2).to_pylist(), sizes.tolist(), strict=True):
+                a, b = b, b + size
+                symbols = np.append(np.frombuffer(raw, "<i4"), 0)
+                symbols[-1] = 0
+                table = np.full(max(0, int(symbols.max()) - none + 1), none, np.int32)
+                table[at[a:b]] = np.arange(a, b) + len(base)
+                other = symbols >= none
+                symbols[other] = table[symbols[other] - none]
+                symbols[-1] = none + 1
+                texts.append(symbols)
+                known.append((int((symbols != none).sum()) - (own.ends == 0), weight[symbols].sum() - len(symbols) * np.log10(total + 1)))
+            log = Hmm(hmm.start, hmm.move, emit).forward(texts)[0] / np.log(10) if texts else np.zeros(0)
+            columns = [batch.column(0), batch.column(1), pa.array([len(t) for t in texts], pa.int64()), pa.array([x for x, _ in known], pa.int64()), pa.array([x for _, x in known], pa.float64()), pa.array(log, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return run
+
+
+def share_of_class(expected: np.ndarray, class_counts: np.ndarray, class_v: int) -> np.ndarray:
+    """Words' shares of their class in each state, from expected counts of words and of the class; a word never seen has counts of 0 and a share less by one added count."""
+    k = len(class_counts)
+    return (expected + 1 / k) / (class_counts + (class_v + 1) / k)
+
+
 def hmm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, symbols: int = SYMBOLS, dictionary: int = DICTIONARY, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
-    """A row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score. held_out: a condition; rows that meet it aren't learned from."""
+    """A row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score. held_out: a condition; rows that meet it aren't learned from. rounds: over all training texts, 1 at least."""
     spark = docs.sparkSession
     context = spark.sparkContext
     own = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
@@ -264,27 +331,28 @@ def hmm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     for _ in range(FIRST_ROUNDS if first else 0):
         model = model.estimate(model.forward(first, True)[1], share)
     shared = context.broadcast(lexicon)
-    for _ in range(rounds if ends else 0):
-        sums = training.mapInArrow(tidy(_expect(shared, context.broadcast(model))), "block int, counts binary")
-        sums = sums.repartition(8, "block").mapInArrow(tidy(_add), "block int, counts binary")
+    class_counts, inside = np.zeros(states), np.zeros((0, states))
+    rare = spark.createDataFrame([], "token binary, n bigint, g array<double>")
+    for _ in range(max(1, rounds) if ends else 0):
+        expected = materialise(training.mapInArrow(tidy(_expect(shared, context.broadcast(model))), "block int, counts binary, token binary, n bigint, g array<float>"), "expected")
+        sums = expected.filter("block is not null").select("block", "counts").repartition(8, "block").mapInArrow(tidy(_add), "block int, counts binary")
         blocks = {r.block: np.frombuffer(r.counts, "<f8") for r in sums.toLocalIterator()}
-        model = model.estimate(np.concatenate([blocks[b] for b in sorted(blocks)]), share)
+        numbers = np.concatenate([blocks[b] for b in sorted(blocks)])
+        size = states * (1 + states + len(share))
+        class_counts, inside = numbers[:size].reshape(-1, states)[1 + states + lexicon.other], numbers[size:].reshape(-1, states)
+        rare = expected.filter("block is null").groupBy("token").agg(F.sum("n").alias("n"), *[F.sum(F.col("g")[s]).alias(f"g{s}") for s in range(states)])
+        rare = rare.select("token", "n", F.array(*[f"g{s}" for s in range(states)]).alias("g"))
+        model = model.estimate(numbers[:size], share)
+    # the word never seen has an expected count of 0 in the class
+    inside = share_of_class(np.concatenate([inside, np.zeros((1, states))]), class_counts, class_v) * model.emit[lexicon.other]
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = own.mapInArrow(tidy(_score(shared, context.broadcast(model))), f"row bigint, id {kind}, held_out boolean, n_tokens bigint, seen bigint, others bigint, known double, inside double, log double, rest array<struct<token:binary,k:bigint>>")
-    scored = materialise(scored, "scored")
-    rest = scored.select("row", F.explode("rest").alias("r")).select("row", "r.token", "r.k")
-    rare = words.filter(F.col("n") < least)
-    found = rest.join(rare, "token").groupBy("row").agg(F.sum(F.col("k") * F.log10(F.col("n") + 1.0)).alias("rare"), F.sum("k").alias("rare_seen"))
-    all_in = scored.drop("rest").join(found, "row", "left").na.fill(0, ["rare", "rare_seen"])
-    return all_in.select(
-        F.col("id").alias(id_col),
-        "held_out",
-        "n_tokens",
-        (F.col("seen") + F.col("rare_seen")).cast("long").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("known") + F.col("rare") - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
-        (F.col("log") + F.col("inside") + F.col("rare") - F.col("others") * float(np.log10(class_n + class_v + 1))).alias("score"),
-    )
+    encoded = materialise(own.mapInArrow(tidy(_encode(shared)), f"row bigint, id {kind}, held_out boolean, places binary, rest array<binary>"), "encoded")
+    rest = encoded.select("row", F.posexplode("rest").alias("pos", "token"))
+    found = rest.join(rare, "token").groupBy("row").agg(F.collect_list(F.struct("pos", "n", "g")).alias("found"))
+    all_in = encoded.drop("rest").join(found, "row", "left").select("id", "held_out", "places", "found")
+    score = _score(shared, context.broadcast(model), context.broadcast(inside), model.emit[lexicon.other], class_counts, class_v, n + v)
+    scored = all_in.mapInArrow(tidy(score), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _sample(training: DataFrame, lexicon: Lexicon, seed: int) -> list[np.ndarray]:
