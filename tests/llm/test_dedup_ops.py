@@ -161,3 +161,13 @@ def test_jaccard_edges(docs, spark):
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999
     path = spark.createDataFrame([(i + 1, i) for i in range(40)], "id long, root long")
     assert {r.label for r in jaccard_join.components(path).collect()} == {0}
+
+
+def test_one_of_each_class_with_repeated_and_null_ids(docs, joins):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, near), (2, near + " more"), (2, "alone in its class"), (2, "alone in its class"), (None, near + " last"), (None, "of null ids"), (None, "Of null, ids!"), (None, "..."), (None, "..."), (3, "once, twice"), (3, "once twice")]
+    df = docs(rows)
+    kept = jaccard_join.one_of_each_class(df)
+    assert kept.columns == df.columns
+    words = Counter((r.doc_id, " ".join(re.findall("[a-z0-9]+", r.text.lower()))) for r in kept.collect())
+    assert words == {(1, near): 1, (2, "alone in its class"): 1, (None, "of null ids"): 1, (None, ""): 2, (3, "once twice"): 1}

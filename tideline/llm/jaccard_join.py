@@ -334,8 +334,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is its class's smallest, with all their columns."""
-    report = jaccard_classes(docs, id_col, text_col)
-    own = fresh(docs, "gone")
-    gone = materialise(report.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias(own)).distinct(), "gone")
-    return docs.join(sized(gone), F.col(id_col) == F.col(own), "left_anti")
+    """The rows of docs that stay, with all their columns: of each class the row of the smallest id, null ids last; where texts share an id, by a hash of the text; one of rows with both equal."""
+    own, lost = fresh(docs, "key"), fresh(docs, "gone")
+    keyed = docs.withColumn(own, F.struct(F.col(id_col).isNull().alias("void"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")))
+    report = materialise(jaccard_classes(keyed, own, text_col).select(F.col(own).alias(lost), (F.col("class_id") == F.col(own)).alias("stays"), "n_links"), "classed")
+    gone = materialise(report.filter("not stays").select(lost).distinct(), "gone")
+    left = keyed.join(sized(gone), F.col(own) == F.col(lost), "left_anti")
+    # texts without words are in no class: they have no links, and all stay
+    again = materialise(report.filter("stays and n_links > 0").groupBy(lost).agg(F.count("*").alias("m")).filter("m > 1").select(lost), "repeats")
+    if not again.isEmpty():
+        on = F.col(own) == F.col(lost)
+        left = left.join(sized(again), on, "left_anti").unionByName(left.join(sized(again), on, "left_semi").dropDuplicates([own]))
+    return left.drop(own)
