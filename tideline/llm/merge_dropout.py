@@ -42,14 +42,14 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 3
 #: Nodes that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 MARK = "▁"
 #: Letters of a word up to which it is encoded with others, and words that are.
 LONG = 48
 TOGETHER = 8192
 #: Rows that go together, and words that go down their trees together.
 ROWS = 500
-WALK = 1 << 18
+WALK = 1 << 15
 GOLDEN = 0x9E3779B97F4A7C15
 
 
