@@ -31,9 +31,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation of what came before."""
+def materialise(df: DataFrame, name: str, *parts: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation of what came before. parts: columns by whose values files are kept apart."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*parts).parquet(path) if parts else df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
