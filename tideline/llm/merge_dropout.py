@@ -6,15 +6,17 @@ single letters by an agenda: the pair with the best piece first, then the leftmo
 A candidate that comes up is skipped if a hash keyed by seed, text, word, the word's
 occurrence in the text and place falls below the dropout, so each occurrence has a
 segmentation of its own, and the same seed and text give the same ones everywhere.
-Without dropout the ids equal the public library's. What no piece covers becomes bytes. Decoding joins pieces and bytes and takes away the
-first marker, so every text comes back exactly, whatever was skipped.
-
-Pieces have markers in front only, so words (with the blanks before them) are
-encoded on their own, many together in arrays. Which candidates come up depends only on
-the word and the skips before, so what is remembered is a tree for each word: a node has the
-ids without another skip and the candidates on the way, and each candidate leads to the
-node in which it is skipped. An occurrence goes down the tree by its own hashes, and new
-nodes are made when they are first met. The memory is bounded.
+Without dropout the ids equal the public library's. What no piece covers becomes bytes.
+Decoding joins pieces and bytes and takes away the first marker, so every text comes back
+exactly, whatever was skipped.
+
+Pieces have markers in front only, so words (with the blanks before them) are encoded on
+their own, many together in arrays. Which candidates come up depends only on the word and
+the skips before, so what is remembered is a tree for each word: a node has the ids
+without another skip and the candidates on the way, and each candidate leads to the node
+in which it is skipped. An occurrence goes down the tree by its own hashes, and new nodes
+are made when they are first met. The memory is bounded, and what it holds changes no
+result. Words are found in the bytes of a batch, so no object is made for an occurrence.
 
 Defined results: null text has null ids; empty text has none. A marker letter in the
 text itself is encoded as bytes, so it comes back as it was. Repeated rows get equal
@@ -24,12 +26,12 @@ results. Extra columns are carried by `encode`, whatever their names.
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +44,19 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 3
 #: Nodes that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 MARK = "▁"
+RAW_MARK = MARK.encode()
 #: Letters of a word up to which it is encoded with others, and words that are.
 LONG = 48
-TOGETHER = 8192
-#: Rows that go together, and words that go down their trees together.
-ROWS = 500
+TOGETHER = 4096
+#: Bytes of text that go together (one text at least), and words that go down their trees together.
+BYTES = 2 << 20
 WALK = 1 << 15
 GOLDEN = 0x9E3779B97F4A7C15
+#: In pairs of pieces: bits of one, and what stands for no piece.
+SIDE = 21
+NONE = (1 << SIDE) - 1
 
 
 class Codec:
@@ -73,27 +79,69 @@ class Codec:
                 self.out[i] = piece.replace(MARK, " ").encode()
         if any(MARK in p.lstrip(MARK) for p in self.rank):
             raise ValueError("a piece has a marker after other letters")
-        self.mark_ids = np.array([self.byte[b] for b in MARK.encode()], "<i4").tobytes()
-        joins = any(len(p) > 1 and "\n" in p for p in self.rank)
-        self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if joins else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-        self.forget()
-        #: The pairs of pieces that make a piece, sorted, and what they make.
-        pairs = {(self.rank[p[:i]][1] << 32) | self.rank[p[i:]][1]: own for p, (_, own) in self.rank.items() for i in range(1, len(p)) if p[:i] in self.rank and p[i:] in self.rank}
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.makes = np.array([pairs[k] for k in self.pairs.tolist()], np.int32)
-        self.cost, self.size = np.full(n + 1, np.inf, np.float32), np.zeros(n + 1, np.uint64)
+        if n + 0x110000 >= NONE:
+            raise ValueError("a model with too many pieces")
+        self.pieces = pa.array(self.out, pa.binary())
+        self.lines = not any(len(p) > 1 and "\n" in p for p in self.rank)
+        #: What each letter is: its piece, or n + its number if it has none.
+        self.single = np.arange(n, n + 0x110000)
+        for piece, (_, own) in self.rank.items():
+            if len(piece) == 1:
+                self.single[ord(piece)] = own
+        self.other = n
+        pairs = {(self.rank[p[:i]][1] << SIDE) | self.rank[p[i:]][1]: own for p, (_, own) in self.rank.items() for i in range(1, len(p)) if p[:i] in self.rank and p[i:] in self.rank}
+        self._hash_pairs(np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32))
+        self.cost, self.size = np.full(n + 1, np.inf, np.float32), np.zeros(n + 1, np.int64)
         for piece, (cost, own) in self.rank.items():
             self.cost[own], self.size[own] = cost, len(piece)
+        self.forget()
+
+    def _hash_pairs(self, pairs: np.ndarray, makes: np.ndarray) -> None:
+        """A table with open addressing: pairs of pieces that make a piece, and which."""
+        bits = max(4, int(len(pairs) * 4).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.makes = np.full((1 << bits) + len(pairs) + 1, -1, np.int64), np.full((1 << bits) + len(pairs) + 1, -1, np.int32)
+        at, left = self._slot(pairs), np.arange(len(pairs))
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            own, first = np.unique(at[free], return_index=True)
+            self.keys[own], self.makes[own] = pairs[free[first]], makes[free[first]]
+            left = left[self.keys[at[left]] != pairs[left]]
+            at[left] += 1
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.view(np.uint64) * np.uint64(GOLDEN)) >> self.shift).astype(np.int64)
+
+    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that each pair makes; -1 for none, which has no end of cost."""
+        pairs = (left << SIDE) | right
+        at = self._slot(pairs)
+        found = self.keys[at]
+        out = self.makes[at]
+        go = np.flatnonzero((found != pairs) & (found >= 0))
+        out[found != pairs] = -1
+        while len(go):
+            at[go] += 1
+            found = self.keys[at[go]]
+            same = found == pairs[go]
+            out[go[same]] = self.makes[at[go[same]]]
+            go = go[~same & (found >= 0)]
+        return out
 
     def forget(self) -> None:
         """Empty the memory; its first node is a marker letter of the text itself."""
-        self.roots: dict[str, int] = {"": 0}
-        #: A node and the place of a candidate on its way, to the node in which that one is skipped.
-        self.next: dict[int, int] = {}
-        self.ids, self.of, self.skipped = [self.mark_ids], [""], [()]
-        #: For each node where its candidates start, how many it has, and its word's hash.
-        self.first, self.many, self.hash = Grown(np.int64, [0]), Grown(np.int64, [0]), Grown(np.uint64, [0])
-        self.codes = Grown(np.uint64, [])
+        self.roots: dict[bytes, int] = {RAW_MARK: 0}
+        #: Letters of words, where each word's start, and how many it has.
+        self.letters, self.letters_at, self.letters_n = Grown(np.int32, []), Grown(np.int64, [0]), Grown(np.int64, [0])
+        #: For each node its word, the word's hash, the node that it comes from, the candidate skipped there, and how many are.
+        self.word_of, self.hash = Grown(np.int64, [0]), Grown(np.uint64, [0])
+        self.parent, self.code, self.depth = Grown(np.int64, [-1]), Grown(np.int64, [0]), Grown(np.int64, [0])
+        #: For each node where its ids and its candidates start, and how many it has.
+        mark = [self.byte[b] for b in RAW_MARK]
+        self.ids, self.ids_at, self.ids_n = Grown(np.int32, mark), Grown(np.int64, [0]), Grown(np.int64, [len(mark)])
+        self.first, self.many = Grown(np.int64, [0]), Grown(np.int64, [0])
+        #: Candidates, and the nodes in which they are skipped.
+        self.codes, self.next = Grown(np.uint16, []), Grown(np.int32, [])
         self.last: tuple[float, set[int]] = (0.0, set())
 
     @property
@@ -101,131 +149,139 @@ class Codec:
         """For each key of the last texts, what each remembered word becomes where a text first has it."""
         dropout, keys = self.last
         nodes = np.array(list(self.roots.values()), np.int64)
-        return {key: dict(zip(self.roots, map(self.ids.__getitem__, self._walk(nodes, salts(self.hash.data[nodes], np.uint64(key), np.zeros(len(nodes), np.uint64)), dropout).tolist()), strict=True)) for key in keys}
-
-    def _remember(self, words: list[str], skipped: list[tuple[int, ...]]) -> list[int]:
-        """New nodes: words of up to LONG letters, and their candidates that are skipped."""
-        out = [0] * len(words)
-        by_length = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for a in range(0, len(by_length), TOGETHER):
-            own = by_length[a : a + TOGETHER]
-            names, skips = [words[i] for i in own], [skipped[i] for i in own]
-            ids, codes, many = self._together(names, skips)
-            for i, node in zip(own, range(len(self.ids), len(self.ids) + len(own)), strict=True):
-                out[i] = node
-            self.ids += ids
-            self.of += names
-            self.skipped += skips
+        names = [w.decode().replace(" ", MARK) if w != RAW_MARK else "" for w in self.roots]
+        out = {}
+        for key in keys:
+            own = self._walk(nodes, salts(self.hash.data[nodes], np.uint64(key), np.zeros(len(nodes), np.uint64)), dropout)
+            out[key] = {w: self.ids.data[a : a + n].tobytes() for w, a, n in zip(names, self.ids_at.data[own].tolist(), self.ids_n.data[own].tolist(), strict=True)}
+        return out
+
+    def _root(self, words: list[bytes]) -> None:
+        """Make the first nodes of new words."""
+        names = [w.decode().replace(" ", MARK) for w in words]
+        sizes = np.array([len(w) for w in names], np.int64)
+        numbers = np.arange(self.letters_n.n, self.letters_n.n + len(words))
+        self.letters_at.add(self.letters.n + np.cumsum(sizes) - sizes)
+        self.letters_n.add(sizes)
+        self.letters.add(self.single[np.frombuffer("".join(names).encode("utf-32-le"), "<u4")])
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64)
+        none = np.full(len(words), -1)
+        self.roots.update(zip(words, self._grow(numbers, hashes, none, none).tolist(), strict=True))
+
+    def _grow(self, words: np.ndarray, hashes: np.ndarray, parent: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """New nodes, and their candidates."""
+        depth = np.where(parent < 0, 0, self.depth.data[parent] + 1)
+        order = np.argsort(self.letters_n.data[words], kind="stable")
+        nodes = np.empty(len(words), np.int64)
+        for a in range(0, len(order), TOGETHER):
+            own = order[a : a + TOGETHER]
+            skips = np.full((len(own), int(depth[own].max(initial=0)) + 1), -1)  # ends with a candidate that never comes
+            up, skipped = parent[own], code[own]
+            for level in range(skips.shape[1] - 2, -1, -1):
+                at = np.flatnonzero(depth[own] > level)
+                skips[at, level] = skipped[at]
+                skipped[at], up[at] = self.code.data[up[at]], self.parent.data[up[at]]
+            ids, n_ids, codes, many = self._together(words[own], skips, depth[own])
+            nodes[own] = np.arange(self.first.n, self.first.n + len(own))
+            for held, rows in ((self.word_of, words[own]), (self.hash, hashes[own]), (self.parent, parent[own]), (self.code, code[own]), (self.depth, depth[own])):
+                held.add(rows)
+            self.ids_at.add(self.ids.n + np.cumsum(n_ids) - n_ids)
+            self.ids_n.add(n_ids)
+            self.ids.add(ids)
             self.first.add(self.codes.n + np.cumsum(many) - many)
             self.many.add(many)
-            self.hash.add(np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64))
             self.codes.add(codes)
-        return out
+            self.next.add(np.full(len(codes), -1))
+        return nodes
 
-    def _after(self, edges: np.ndarray) -> np.ndarray:
-        """The nodes that edges (node << 8 | place of the candidate that is skipped) lead to."""
-        own, back = np.unique(edges, return_inverse=True)
-        keys = own.tolist()
-        new = [k for k in keys if k not in self.next]
-        if new:
-            skipped = [(*self.skipped[k >> 8], int(self.codes.data[self.first.data[k >> 8] + (k & 255)])) for k in new]
-            self.next.update(zip(new, self._remember([self.of[k >> 8] for k in new], skipped), strict=True))
-        return np.array([self.next[k] for k in keys], np.int64)[back]
+    def _after(self, nodes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The nodes in which these candidates are skipped."""
+        at = self.first.data[nodes] + place
+        new, first = np.unique(at[self.next.data[at] < 0], return_index=True)
+        if len(new):
+            of = nodes[self.next.data[at] < 0][first]
+            made = self._grow(self.word_of.data[of], self.hash.data[of], of, self.codes.data[new].astype(np.int64))
+            self.next.data[new] = made
+        return self.next.data[at].astype(np.int64)
 
     def _walk(self, nodes: np.ndarray, salt: np.ndarray, dropout: float) -> np.ndarray:
         """Where each occurrence ends that starts at a word's root."""
-        nodes, bound = nodes.copy(), int(dropout * (1 << 32))
+        nodes, bound = nodes.copy(), np.uint64(int(dropout * (1 << 32)))
         for a in range(0, len(nodes) if bound else 0, WALK):
             going = np.arange(a, min(a + WALK, len(nodes)))
             while len(going):
                 at = nodes[going]
                 many = self.many.data[at]
                 row = np.repeat(np.arange(len(going)), many)
-                place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-                hit = np.flatnonzero(_mix_all(salt[going][row] + self.codes.data[self.first.data[at][row] + place]) < bound)
+                place = spread(self.first.data[at], many)
+                hit = np.flatnonzero(_mix_all(salt[going][row] + self.codes.data[place]) < bound)
                 row, hit = row[hit], place[hit]
                 first = np.flatnonzero(np.diff(row, prepend=-1))
                 row, hit = row[first], hit[first]
                 going = going[row]
-                nodes[going] = self._after((at[row] << 8) | hit)
+                nodes[going] = self._after(at[row], hit - self.first.data[at[row]])
         return nodes
 
-    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that each pair makes; -1 for none, which has no end of cost."""
-        key = (left.astype(np.int64) << 32) | right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where((left >= 0) & (right >= 0) & (self.pairs[at] == key), self.makes[at], -1)
-
-    def _together(self, words: list[str], skipped: list[tuple[int, ...]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """The ids of each word, sorted by length, if just these candidates are skipped; and the candidates that come up after them, with how many each word has. Each step takes every word's best candidate."""
-        width = len(words[-1]) + 1
-        n_skipped = np.array([len(x) for x in skipped])
-        skips = np.zeros((len(words), n_skipped.max()), np.uint64)  # no candidate is 0
-        for i in np.flatnonzero(n_skipped).tolist():
-            skips[i, : n_skipped[i]] = skipped[i]
-        met, way_rows, way_codes = np.zeros(len(words), np.int64), [], []
-        letters = np.full((len(words), width), -1, np.int32)
-        single = {c: self.rank[c][1] if c in self.rank else -2 - k for k, c in enumerate(sorted(set("".join(words))))}
-        names = {v: c for c, v in single.items()}
-        for i, w in enumerate(words):
-            letters[i, : len(w)] = [single[c] for c in w]
-        place = np.broadcast_to(np.arange(width, dtype=np.uint64), letters.shape).copy()
-        made = np.full(letters.shape, -1, np.int32)
-        made[:, :-1] = self._made(letters[:, :-1], letters[:, 1:])
+    def _together(self, words: np.ndarray, skips: np.ndarray, n_skips: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of words, sorted by length, in which just these candidates are skipped, in their order: ids and how many each has, and the candidates that come up after the last skipped one and how many each has. Each step takes every word's best candidate; parts are linked, with no part at both ends."""
+        sizes = self.letters_n.data[words]
+        n, width = len(words), int(sizes[-1]) + 2
+        letters = np.full((n, width), NONE)
+        letters[(np.arange(width) > 0) & (np.arange(width) <= sizes[:, None])] = self.letters.data[spread(self.letters_at.data[words], sizes)]
+        after, before = np.tile(np.minimum(np.arange(width) + 1, width - 1), (n, 1)), np.tile(np.arange(width) - 1, (n, 1))
+        made = np.full((n, width), -1, np.int32)
+        made[:, :-1] = self._made(letters[:, :-1].ravel(), letters[:, 1:].ravel()).reshape(n, -1)
         cost = self.cost[made]
-        final = letters.copy()
-        rows = np.arange(len(words))
-        spread = np.arange(width)
+        final, rows, met, way_rows, way_codes = letters, np.arange(n), np.zeros(n, np.int64), [], []
         while True:
             best = cost.argmin(axis=1)
-            at = np.arange(len(rows))
-            going = np.isfinite(cost[at, best])
-            if not going.all():
-                final[rows[~going]] = letters[~going]
-                if not going.any():
+            own = np.flatnonzero(np.isfinite(cost[np.arange(len(rows)), best]))
+            if len(own) < 0.7 * len(rows):
+                if final is not letters:
+                    final[rows] = letters
+                else:
+                    final = letters.copy()
+                if not len(own):
                     break
-                letters, place, made, cost, rows, best = letters[going], place[going], made[going], cost[going], rows[going], best[going]
-                at = np.arange(len(rows))
-            piece = made[at, best]
-            code = (place[at, best] << np.uint64(8)) + self.size[piece]
-            skip = (skips[rows] == code[:, None]).any(axis=1)
-            met[rows[skip]] += 1
-            later = ~skip & (met[rows] == n_skipped[rows])
-            way_rows.append(rows[later])
+                letters, after, before, made, cost, rows, best = letters[own], after[own], before[own], made[own], cost[own], rows[own], best[own]
+                own = np.arange(len(rows))
+            line, at, word = own * width, best[own], rows[own]
+            here = line + at
+            piece = made.take(here)
+            code = ((at - 1) << 8) + self.size[piece]
+            skip = skips[word, met[word]] == code
+            met[word[skip]] += 1
+            later = ~skip & (met[word] == n_skips[word])
+            way_rows.append(word[later])
             way_codes.append(code[later])
+            flat = cost.ravel()
             if skip.any():
-                cost[at[skip], best[skip]] = np.inf
-                at, best, piece = at[~skip], best[~skip], piece[~skip]
-                if not len(at):
+                flat[here[skip]] = np.inf
+                keep = ~skip
+                line, at, here, piece = line[keep], at[keep], here[keep], piece[keep]
+                if not len(here):
                     continue
-            letters[at, best] = piece
-            # what stands behind the pair moves up by one
-            from_ = np.minimum(spread[None, :] + (spread[None, :] > best[:, None]), width - 1)
-            for array, empty in ((letters, -1), (place, 0), (made, -1), (cost, np.inf)):
-                moved = np.take_along_axis(array[at], from_, axis=1)
-                moved[:, -1] = empty
-                array[at] = moved
-            for side in (best - 1, best):
-                some = side >= 0
-                i, j = at[some], side[some]
-                new = self._made(letters[i, j], letters[i, np.minimum(j + 1, width - 1)])
-                made[i, j] = new
-                cost[i, j] = self.cost[new]
+            second = after.take(here)
+            third = after.take(line + second)
+            left = before.take(here)
+            parts = letters.ravel()
+            parts[here], parts[line + second] = piece, NONE
+            after.ravel()[here] = third
+            before.ravel()[line + third] = at
+            flat[line + second] = np.inf
+            both = self._made(np.concatenate([piece, parts[line + left]]), np.concatenate([parts[line + third], piece]))
+            there = np.concatenate([here, line + left])
+            made.ravel()[there] = both
+            flat[there] = self.cost[both]
         ways = np.concatenate([np.zeros(0, np.int64), *way_rows])
-        codes = np.concatenate([np.zeros(0, np.uint64), *way_codes])[np.argsort(ways, kind="stable")]
-        many = np.bincount(ways, minlength=len(words))
-        flat = final[final != -1]  # row by row
-        ends = np.cumsum((final != -1).sum(axis=1))
-        if not (flat < -1).any():
-            raw = flat.astype("<i4").tobytes()
-            return [raw[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], codes, many
-        out = []
-        for part in np.split(flat, ends[:-1]):
-            ids: list[int] = []
-            for x in part.tolist():
-                ids += [x] if x >= 0 else [self.byte[b] for b in names[x].encode()]
-            out.append(np.array(ids, "<i4").tobytes())
-        return out, codes, many
+        codes = np.concatenate([np.zeros(0, np.int64), *way_codes])[np.argsort(ways, kind="stable")]
+        some = final != NONE
+        ids, n_ids = final[some], some.sum(axis=1)
+        if (ids >= self.other).any():  # letters without a piece
+            as_bytes = [[x] if x < self.other else [self.byte[b] for b in chr(x - self.other).encode()] for x in ids.tolist()]
+            n_ids = np.bincount(np.repeat(np.arange(n), n_ids), [len(x) for x in as_bytes], n).astype(np.int64)
+            ids = np.array([i for x in as_bytes for i in x])
+        return ids, n_ids, codes, np.bincount(ways, minlength=n)
 
     def word(self, word: str, dropout: float, key: int, occurrence: int = 0) -> list[int]:
         """The ids of a word where a text of this key has it for the nth time, from 0: by an agenda, without the memory."""
@@ -267,40 +323,77 @@ class Codec:
                 out += [self.byte[b] for b in part.encode()]
         return out
 
-    def encode(self, texts: list[str | None], dropout: float, keys: list[int]) -> list[bytes]:
-        """The ids of texts, as 32-bit numbers; a key for each text."""
-        parts: list[list[str]] = []
-        if len(self.ids) >= REMEMBERED:
+    def _words(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where words start in the bytes of texts that each start with a blank: with the first of some blanks, at a new line and after it, and around a marker letter of the text itself."""
+        blank = data == 32
+        start = blank.copy()
+        start[1:] &= ~blank[:-1]
+        if self.lines:
+            line = data == 10
+            start |= line
+            start[1:] |= line[:-1]
+        start[ends[:-1][ends[:-1] < ends[1:]]] = True
+        raw = np.flatnonzero(data == RAW_MARK[0])
+        raw = raw[raw < len(data) - 2]
+        raw = raw[(data[raw + 1] == RAW_MARK[1]) & (data[raw + 2] == RAW_MARK[2])]
+        start[raw] = True
+        start[raw[raw < len(data) - 3] + 3] = True
+        return np.flatnonzero(start)
+
+    def encode_texts(self, texts: pa.Array, dropout: float, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, and where each text's start (and the last one's end); a key for each text."""
+        if self.first.n >= REMEMBERED:
             self.forget()
-        self.last = dropout, set(keys)
-        for text in texts:
-            own: list[str] = []
-            for k, part in enumerate(text.split(MARK)) if text else ():
-                if k:
-                    own.append("")  # a marker letter of the text itself
-                own += self.words.findall(("" if k else MARK) + part.replace(" ", MARK))
-            parts.append(own)
-        every = [w for own in parts for w in own]
-        new = set(every).difference(self.roots)
-        short, large = [w for w in new if len(w) <= LONG], sorted(w for w in new if len(w) > LONG)
-        self.roots.update(zip(short, self._remember(short, [()] * len(short)), strict=True))
-        far = {w: -1 - k for k, w in enumerate(large)}
-        nodes = np.fromiter((far[w] if w in far else self.roots[w] for w in every) if far else map(self.roots.__getitem__, every), np.int64, len(every))
-        sizes = [len(own) for own in parts]
-        text = np.repeat(np.arange(len(parts)), sizes)
-        nth = occurrences((text << 40) + nodes + len(far))
+        self.last = dropout, set(keys.tolist())
+        texts = pc.fill_null(texts, "")
+        own = pc.if_else(pc.greater(pc.binary_length(texts), 0), pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar("")), pa.scalar("")).cast(pa.large_binary())
+        ends = np.frombuffer(own.buffers()[1], "<i8")[own.offset : own.offset + len(own) + 1]
+        if ends[-1] == ends[0]:
+            return np.zeros(0, np.int32), np.zeros(len(own) + 1, np.int64)
+        data = np.frombuffer(own.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        start = self._words(data, ends)
+        of_text = np.searchsorted(start, ends)  # the first word of each text
+        text = np.repeat(np.arange(len(own)), np.diff(of_text))
+        every = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(start, len(data))), pa.py_buffer(data)]).dictionary_encode()
+        number, words = every.indices.to_numpy(), every.dictionary.to_pylist()
+        self._root([w for w in words if w not in self.roots and len(w.decode()) <= LONG])
+        nodes = np.array([self.roots.get(w, -1) for w in words], np.int64)[number]
+        nth = occurrences(text * len(words) + number)
         there = np.flatnonzero(nodes >= 0)
-        salt = salts(self.hash.data[nodes[there]], np.array(keys, np.uint64)[text[there]], nth[there])
-        nodes[there] = self._walk(nodes[there], salt, dropout)
-        got = [self.ids[k] for k in nodes.tolist()] if not far else [self.ids[k] if k >= 0 else b"" for k in nodes.tolist()]
-        for i in np.flatnonzero(nodes < 0).tolist():
-            got[i] = np.array(self.word(every[i], dropout, keys[text[i]], int(nth[i])), "<i4").tobytes()
-        ends = np.cumsum([0, *sizes]).tolist()
-        return [b"".join(got[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+        nodes[there] = self._walk(nodes[there], salts(self.hash.data[nodes[there]], keys[text[there]], nth[there]), dropout)
+        at, n = self.ids_at.data[nodes], self.ids_n.data[nodes]
+        held = self.ids.n
+        for i in np.flatnonzero(nodes < 0).tolist():  # long words: behind the remembered ids, for now
+            ids = np.array(self.word(words[number[i]].decode().replace(" ", MARK), dropout, int(keys[text[i]]), int(nth[i])), np.int32)
+            at[i], n[i] = self.ids.n, len(ids)
+            self.ids.add(ids)
+        out = np.concatenate([np.zeros(0, np.int32), *(self.ids.data[spread(at[a : a + WALK], n[a : a + WALK])] for a in range(0, len(n), WALK))])
+        self.ids.n = held
+        return out, np.append(0, np.cumsum(n))[of_text]
+
+    def encode(self, texts: list[str | None], dropout: float, keys: list[int]) -> list[bytes]:
+        """The ids of texts, as 32-bit numbers; a key for each text."""
+        ids, ends = self.encode_texts(pa.array(texts, pa.string()), dropout, np.array(keys, np.uint64))
+        return [ids[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+
+    def decode_ids(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts that ids stand for, from where each text's start (and the last one's end)."""
+        own = self.pieces.cast(pa.large_binary()).take(pa.array(ids))
+        at = np.frombuffer(own.buffers()[1], "<i8")[own.offset :][ends] if len(ids) else np.zeros(len(ends), np.int64)
+        some = at[:-1] < at[1:]
+        data = np.delete(np.frombuffer(own.buffers()[2] or b"", np.uint8)[: at[-1]], at[:-1][some])  # each text's first marker
+        at = at - np.append(0, np.cumsum(some))
+        return pa.Array.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(at), pa.py_buffer(data)]).cast(pa.large_string())
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join([self.out[i] for i in ids.tolist()])
-        return raw[1:].decode() if len(ids) else ""
+        return self.decode_ids(ids, np.array([0, len(ids)]))[0].as_py()
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each size."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Grown:
@@ -351,16 +444,26 @@ def codec(model: bytes) -> Codec:
     return Codec(model)
 
 
+def _groups(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows (from, to) of BYTES of text together, or one row."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + BYTES, "right")))
+        yield a, b
+        a = b
+
+
 def _encode(model, at: int, dropout: float, seed: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, ROWS):
-                part = batch.slice(a, ROWS)
-                texts = part.column(at).to_pylist()
-                ids = own.encode(texts, dropout, [xxhash.xxh64_intdigest(t or "", seed) for t in texts])
-                ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")), mask=pa.array([t is None for t in texts]))
+            for a, b in _groups(batch.column(at)):
+                part = batch.slice(a, b - a)
+                texts = part.column(at)
+                keys = [xxhash.xxh64_intdigest(t or b"", seed) for t in texts.cast(pa.binary()).to_pylist()]
+                ids, ends = own.encode_texts(texts, dropout, np.array(keys, np.uint64))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids), mask=pa.array(texts.is_null()) if texts.null_count else None)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists.cast(schema.field(len(part.columns)).type)], schema=schema)
 
     return run
@@ -378,12 +481,17 @@ def _decode(model, at: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, ROWS):
-                part = batch.slice(a, ROWS)
+            sizes = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)))
+            a = 0
+            while a < batch.num_rows:
+                b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + BYTES // 4, "right")) - 1)
+                part = batch.slice(a, b - a)
                 column = part.column(at)
-                values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-                texts = [own.decode(values[ends[i] : ends[i + 1]]) if valid else None for i, valid in enumerate(column.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, schema.field(len(part.columns)).type)], schema=schema)
+                texts = own.decode_ids(column.flatten().to_numpy(zero_copy_only=False), sizes[a : b + 1] - sizes[a])
+                if column.null_count:
+                    texts = pc.if_else(column.is_valid(), texts, pa.scalar(None, texts.type))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts.cast(schema.field(len(part.columns)).type)], schema=schema)
+                a = b
 
     return run
 
