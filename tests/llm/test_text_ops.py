@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,24 @@ def test_layouts(spark, tmp_path):
     assert r.formatted == "own" and r["formatted_"].count(chat_format.START) == 2 and r["layout_"] == "prompt"
 
 
+def test_deep_paths(spark):
+    """Layouts that differ below elements of arrays, in arrays of arrays or in maps have fingerprints of their own."""
+    kind = "id long, a array<struct<b:struct<c:string,d:string>>>, e array<array<struct<f:string,g:string>>>, m map<string,struct<x:string,y:string>>"
+    rows = [
+        (1, [(("c", None),)], None, None),
+        (2, [((None, "d"),)], None, None),
+        (3, None, [[("f", None)], []], None),
+        (4, None, [[(None, "g")]], None),
+        (5, None, None, {"k": ("x", None)}),
+        (6, None, None, {"k": (None, "y")}),
+        (7, [(("c", None),), (None,)], None, None),
+        (8, [], [[]], {}),
+    ]
+    df = spark.createDataFrame(rows, kind)
+    prints = [r.p for r in df.orderBy("id").select(chat_format.fingerprint(df.drop("id")).alias("p")).collect()]
+    assert prints[0] == prints[6] and len(set(prints)) == 7
+
+
 def doc_words(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
 
@@ -80,9 +99,7 @@ def brute_hits(text, items):
     return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("block", [1, 20_000])
-def test_decontamination(docs, spark, joins, monkeypatch, block):
-    monkeypatch.setattr(decontamination, "TERM_BLOCK", block)
+def test_decontamination(docs, spark, joins):
     draw = random.Random(2)
     vocabulary = ["the", "of", "a"] * 5 + [f"w{i}" for i in range(30)] + ["École", "école", "x1"]
     say = lambda n: " ".join(draw.choices(vocabulary, k=n))
@@ -94,17 +111,20 @@ def test_decontamination(docs, spark, joins, monkeypatch, block):
     df = docs(texts)
     out = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontamination.contamination_report(df, bench).collect()}
     assert out == {i: brute_hits(t, items) for i, t in enumerate(texts)}
-    if block > 1:
-        clean = decontamination.decontaminated(df, bench)
-        assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} == {i for i, v in out.items() if not v[4]}
-        none = decontamination.contamination_report(df, bench.limit(0)).collect()
-        assert len(none) == len(texts) and not any(r.contaminated for r in none)
-        assert decontamination.contamination_report(df.limit(0), bench).count() == 0
+    clean = decontamination.decontaminated(df, bench)
+    assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} == {i for i, v in out.items() if not v[4]}
+    none = decontamination.contamination_report(df, bench.limit(0)).collect()
+    assert len(none) == len(texts) and not any(r.contaminated for r in none)
+    assert decontamination.contamination_report(df.limit(0), bench).count() == 0
+    # null ids and repeated rows
+    rows = [(None, texts[4]), (None, texts[9]), (1, texts[4]), (1, texts[4]), (1, texts[10])]
+    again = sorted((r.doc_id or 0, r.n_words, r.n_hit) for r in decontamination.contamination_report(docs(rows), bench).collect())
+    assert again == sorted((i or 0, *brute_hits(t, items)[:2]) for i, t in rows)
 
 
 def test_nearby(docs, spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
-    index = decontamination.PositionalIndex(docs(["delta x gamma beta y alpha", "alpha " + "z " * 30 + "beta gamma delta"]), decontamination.query_windows(bench, "item_id", "text"))
+    index = decontamination.PositionalIndex(docs(["delta x gamma beta y alpha", "alpha " + "z " * 30 + "beta gamma delta"]), bench)
     assert {r.id for r in index.nearby().collect()} == {0} and index.phrases().count() == 0
 
 
@@ -140,15 +160,50 @@ def test_field_likelihood_and_viterbi():
     assert score(field.decode(rows)) == pytest.approx(max(score(y) for y in itertools.product((0, 1), repeat=5)))
 
 
-def test_forward_is_exact():
+@pytest.mark.parametrize("together", [250_000, 7, 1])
+def test_forward_is_exact(monkeypatch, together):
+    """Likelihoods and expected counts against all paths, however few symbols a part of the recursion may have."""
+    monkeypatch.setattr(hmm_scoring, "STEP_TOKENS", together)
     model = hmm_scoring.Hmm.first(np.array([0.3, 0.3, 0.2, 0.2]), 3, 1)
-    text = np.array([0, 2, 1, 3])
-    brute = sum(model.start[p[0]] * np.prod([model.emit[s, k] for s, k in zip(text, p, strict=True)]) * np.prod([model.move[a, b] for a, b in itertools.pairwise(p)]) for p in itertools.product(range(3), repeat=4))
-    logs, counts = model.forward([np.array([3]), text, text[:2]], True)
-    assert logs[1] == pytest.approx(math.log(brute)) and counts[:3].sum() == pytest.approx(3) and counts[12:].sum() == pytest.approx(7)
-    texts = [np.array([0, 1, 0, 1, 3])] * 20 + [np.array([2, 2, 2, 3])] * 20
-    before = model.forward(texts, True)
-    assert model.estimate(before[1], np.full(4, 0.25)).forward(texts)[0].sum() > before[0].sum()
+    texts = [np.array([3]), np.array([0, 2, 1, 3, 0, 0, 1]), np.array([0, 2]), np.array([1, 1, 1, 2, 3])]
+    word = [np.array([0]), np.array([1, -1, 2, 2, -1, 0, 1]), np.array([-1, -1]), np.array([0, 0, 1, 2, 2])]
+    counts, by_word, logs = model.no_counts(), np.zeros((3, 3)), []
+    for text, own in zip(texts, word, strict=True):
+        total = 0.0
+        start, move, emit, words = np.zeros(3), np.zeros((3, 3)), np.zeros((4, 3)), np.zeros((3, 3))
+        for p in itertools.product(range(3), repeat=len(text)):
+            x = model.start[p[0]] * np.prod([model.emit[s, k] for s, k in zip(text, p, strict=True)]) * np.prod([model.move[a, b] for a, b in itertools.pairwise(p)])
+            total += x
+            start[p[0]] += x
+            for a, b in itertools.pairwise(p):
+                move[a, b] += x
+            for s, w, k in zip(text, own, p, strict=True):
+                emit[s, k] += x
+                if w >= 0:
+                    words[w, k] += x
+        logs.append(math.log(total))
+        counts += np.concatenate([start, move.ravel(), emit.T.ravel()]) / total
+        by_word += words / total
+    found, found_words = model.no_counts(), np.zeros((3, 3))
+    assert model.forward(np.concatenate(texts), np.array([len(t) for t in texts]), found, np.concatenate(word), found_words) == pytest.approx(logs)
+    assert found == pytest.approx(counts) and found_words == pytest.approx(by_word)
+    assert model.forward(np.concatenate(texts), np.array([len(t) for t in texts])) == pytest.approx(logs)
+
+
+def test_rounds_raise_the_likelihood():
+    model = hmm_scoring.Hmm.first(np.array([0.3, 0.3, 0.2, 0.2]), 3, 1)
+    texts, sizes = np.array([0, 1, 0, 1, 3] * 20 + [2, 2, 2, 3] * 20), np.array([5] * 20 + [4] * 20)
+    counts = model.no_counts()
+    before = model.forward(texts, sizes, counts)
+    assert model.estimate(counts, np.full(4, 0.25)).forward(texts, sizes).sum() > before.sum()
+
+
+def test_words_of_texts():
+    draw = random.Random(5)
+    texts = [None, "", " \t", "A\x0bÉa\x1c b", "x"] + ["".join(draw.choices("aB \n\ré", k=draw.randint(0, 20))) for _ in range(200)] + ["", "end "]
+    number, words, ends = hmm_scoring.split_words(pa.array(texts))
+    want = [(t or "").encode().lower().split() for t in texts]
+    assert [[words[i] for i in number[a:b]] for a, b in itertools.pairwise(ends)] == want
 
 
 def test_scores(docs):
@@ -165,11 +220,12 @@ def test_scores(docs):
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(t), sum(counts[w] > 0 for w in t), n)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t), abs=1e-6)
         assert math.isfinite(r.score) and r.score < 0
-    # the dictionary's size is no part of the model: what isn't in it is joined
-    own = lambda size: {r.doc_id: r for r in hmm_scoring.hmm_scores(docs(texts), F.col("doc_id") % 7 == 2, symbols=2, dictionary=size).collect()}
+    # what isn't in the dictionary is joined; counts don't depend on its size
+    own = lambda size: {r.doc_id: r for r in hmm_scoring.hmm_scores(docs(texts), F.col("doc_id") % 7 == 2, dictionary=size).collect()}
     small, large = own(3), own(1000)
     for i in small:
-        assert small[i].score == pytest.approx(large[i].score, abs=1e-6) and small[i].n_known == large[i].n_known
+        assert small[i].base_score == pytest.approx(large[i].base_score, abs=1e-6) and small[i].n_known == large[i].n_known
+        assert math.isfinite(small[i].score) and small[i].score < 0
     assert hmm_scoring.score_report(docs(["a"]).limit(0)).count() == 0
 
 
@@ -184,10 +240,13 @@ def test_rare_words_have_states(docs):
     ends = [" ".join(["aa ab ac aa", "ra1", "ab aa ac ab"]), " ".join(["aa ab ac aa", "rb1", "ab aa ac ab"]), "aa never ab"]
     held = F.col("doc_id") >= len(texts)
     for size in (6, 12, 1000):  # rare words by the join, some, or none
-        out = {r.doc_id: r for r in hmm_scoring.hmm_scores(docs(texts + ends), held, states=2, symbols=6, dictionary=size).collect()}
+        out = {r.doc_id: r for r in hmm_scoring.hmm_scores(docs(texts + ends), held, states=2, dictionary=size).collect()}
         own, other, never = (out[len(texts) + i] for i in range(3))
         assert own.base_score == pytest.approx(other.base_score) and own.score > other.score + 0.5
         assert never.n_known == 3 and math.isfinite(never.score)
+    gamma = np.random.default_rng(2).dirichlet(np.ones(8), 500) * 3
+    parts = hmm_scoring._divide(gamma)
+    assert (parts.sum(axis=1) == hmm_scoring.PARTS).all() and np.abs(parts / hmm_scoring.PARTS - gamma / 3).max() < 1 / hmm_scoring.PARTS
     # shares of a class in each state, with that of a word never seen, add up to 1
     counts = np.random.default_rng(1).uniform(0, 3, (50, 4))
     shares = hmm_scoring.share_of_class(np.concatenate([counts, np.zeros((1, 4))]), counts.sum(axis=0), 50)
@@ -288,3 +347,20 @@ def test_bundles_are_sums_of_bound_letters():
         vec = {c: space.letters(np.array([ord(c)]))[0].astype(int) for c in set(folded)}
         want = sum((np.roll(vec[a], 2) * np.roll(vec[b], 1) * vec[c] for a, b, c in zip(folded, folded[1:], folded[2:], strict=False)), np.zeros(128, int))
         assert (space.bundles(["", text, "q"])[1] == want).all()
+
+
+def test_pieces_of_long_texts_add_up(monkeypatch):
+    draw = random.Random(3)
+    texts = ["".join(draw.choices("abc é  ,1\n", k=draw.randint(0, 60))) for _ in range(200)] + ["1" * 50 + "a", "a" * 50, "a" + " " * 50 + "b"]
+    want = language_id.Space(128).bundles(texts)
+    for piece in (1, 2, 3, 7):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        assert (language_id.Space(128).bundles(texts) == want).all()
+
+
+def test_rare_languages_are_learned(docs, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAINING_ROWS", 3)
+    langs = ["aa"] * 300 + ["cc"] * 4
+    texts = [" ".join(LANGUAGES[x]) + f" {i}" for i, x in enumerate(langs)]
+    known = language_id.prototypes(docs(texts, lang=langs), "text", "lang", "doc_id", sample=3)
+    assert set(known) >= {"cc"}
