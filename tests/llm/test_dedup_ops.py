@@ -102,6 +102,12 @@ def test_shards(docs):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sizes[s]))
     again = sharding.shard_report(df.repartition(7)).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))  # the same, however the table is dealt
+    before = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    try:
+        df.sparkSession.conf.set("spark.sql.shuffle.partitions", "3")
+        assert sorted(map(tuple, sharding.shard_report(df).collect())) == sorted(map(tuple, rows))
+    finally:
+        df.sparkSession.conf.set("spark.sql.shuffle.partitions", before)
     other = sharding.shard_report(df, seed=1).collect()
     assert {r.doc_id: (r.shard, r.slot) for r in other} != {r.doc_id: (r.shard, r.slot) for r in rows}
     assert sharding.shard_report(df.limit(0)).count() == 0
@@ -171,3 +177,22 @@ def test_one_of_each_class_with_repeated_and_null_ids(docs, joins):
     assert kept.columns == df.columns
     words = Counter((r.doc_id, " ".join(re.findall("[a-z0-9]+", r.text.lower()))) for r in kept.collect())
     assert words == {(1, near): 1, (2, "alone in its class"): 1, (None, "of null ids"): 1, (None, ""): 2, (3, "once twice"): 1}
+
+
+def test_rows_of_one_id_spread(docs):
+    """A third of the rows has no id: they go to many buckets, unless they are equal in every column."""
+    texts = [(None, f"text {i}") for i in range(300)] + [(i, "same") for i in range(300)] + [(7, "same")] * 5
+    written = sharding.external_shuffle(docs(texts), bucket_bytes=400)
+    rows = written.collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter(texts)
+    shards = Counter(r.place.shard for r in rows if r.doc_id is None)
+    assert len(shards) > 30 and max(shards.values()) < 20
+    sizes = Counter(r.place.shard for r in rows)
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+
+
+def test_starts_of_buckets(spark):
+    counts = {b: (b * 7) % 5 + 1 for b in range(0, 60, 2)}
+    df = spark.createDataFrame(list(counts.items()), "bucket long, rows long")
+    found = {r.bucket: (r.start, r.total) for r in sharding.running_starts(df, "bucket", "rows", "start", "total", block=8).collect()}
+    assert found == {b: (sum(n for c, n in counts.items() if c < b), sum(counts.values())) for b in counts}
