@@ -9,9 +9,11 @@ cosine, which is the score.
 Text is folded to small letters; whatever isn't a letter separates words, and each
 word has one blank around it, so n-grams know where words begin and end.
 
-Training uses at most `sample` labelled rows, chosen evenly by hashed id; a table
-with fewer uses all. Everything else covers every row and whole texts: long texts
-are counted in pieces of PIECE letters. N-grams are trigrams. Equal cosines go to the language that sorts first.
+Training uses at most about `sample` labelled rows of each language, chosen by hashed id
+and text; of a language with fewer it uses all, so no language is lost. Everything else
+covers every row and whole texts: long texts are counted in pieces of PIECE letters that
+share two, and what these two add is taken away again, so pieces add up to the whole
+text's bundle. N-grams are trigrams. Equal cosines go to the language that sorts first.
 Null, empty and letterless texts get `und` with score 0, as does everything
 if no labelled row can be learned from. Repeated rows get equal results.
 """
@@ -26,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, tidy, worker_cpu_bound
+from .common import in_fold, materialise, sized, tidy, worker_cpu_bound
 
 DIMENSIONS = 512
-#: Labelled rows that prototypes are learned from, at most about.
-TRAINING_ROWS = 12_000
+#: Labelled rows of a language that its prototype is learned from, at most about.
+TRAINING_ROWS = 3_000
 SEED = 7
 #: Letters that are counted in one go.
 PIECE = 1 << 19
@@ -134,25 +136,26 @@ class Space:
         out = np.zeros((len(texts), self.dimensions), np.float32)
         rows: list[int] = []
         parts: list[str] = []
+        signs: list[int] = []
         held = 0
 
         def flush() -> None:
-            nonlocal rows, parts, held
+            nonlocal rows, parts, signs, held
             if parts:
-                np.add.at(out, rows, self._piece(parts))
-            rows, parts, held = [], [], 0
+                np.add.at(out, rows, self._piece(parts) * np.array(signs, np.float32)[:, None])
+            rows, parts, signs, held = [], [], [], 0
 
         for i, text in enumerate(texts):
-            for a in range(0, len(text), PIECE):
+            for part, sign in [(text, 1)] if len(text) <= PIECE else _pieces(text):
                 rows.append(i)
-                parts.append(text[a : a + PIECE])
-                held += len(parts[-1])
+                parts.append(part)
+                signs.append(sign)
+                held += len(part)
                 if held >= PIECE or len(parts) >= 256:
                     flush()
         flush()
         return out
 
-
     def __reduce__(self):
         return _space, (self.dimensions, self.seed)
 
@@ -177,6 +180,24 @@ def _folds() -> np.ndarray:
     return _FOLDS[0]
 
 
+def _pieces(text: str) -> Iterator[tuple[str, int]]:
+    """Folded pieces of a long text, with no more than one blank in a row; two letters or blanks that two pieces share come once more by themselves, to be taken away."""
+    folded = np.zeros(0, np.uint32)
+    for a in range(0, len(text), PIECE):
+        own = _folds()[np.frombuffer(text[a : a + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        folded = np.concatenate([folded, own])
+        blank = folded == _BLANK
+        folded = folded[~(blank & np.append(False, blank[:-1]))]
+        last = a + PIECE >= len(text)
+        if len(folded) > 2:
+            yield folded.tobytes().decode("utf-32-le", "surrogatepass"), 1
+            folded = folded[-2:].copy()
+            if not last:
+                yield folded.tobytes().decode("utf-32-le", "surrogatepass"), -1
+        elif last:
+            yield folded.tobytes().decode("utf-32-le", "surrogatepass"), 1
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
@@ -202,9 +223,9 @@ def prototypes(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, s
     """A unit vector for each language of the labelled rows. What reaches the driver is dimensions x languages numbers."""
     space = space or Space()
     usable = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    share = min(1.0, sample / max(1, usable.count()))
-    if share < 1:
-        usable = usable.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000))
+    counts = usable.groupBy(F.col(lang_col).alias("lang_")).agg(F.count("*").alias("rows_"))
+    drawn = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED)), F.lit(1 << 40)) / (1 << 40) < sample / F.col("rows_")
+    usable = usable.select(F.col(lang_col), F.col(text_col), F.col(id_col)).join(sized(materialise(counts, "languages")), F.col(lang_col) == F.col("lang_")).filter(drawn)
     sums = usable.select(F.col(lang_col), F.col(text_col)).mapInArrow(tidy(_learn(space), space.forget), "lang string, at int, x double").groupBy("lang", "at").agg(F.sum("x").alias("x"))
     out: dict[str, np.ndarray] = {}
     for row in sums.toLocalIterator():
