@@ -57,9 +57,7 @@ DRAWN = 0.5
 WHOLE_ROUNDS = 1
 #: Tokens that take part in one recursion together, and bytes of text that are split together (one text at least).
 STEP_TOKENS = 250_000
-BYTES = 8 << 20
-#: Symbols in a row of expected counts, 65,536 at most.
-BLOCK = 8192
+BYTES = 4 << 20
 SEED = 11
 END = b""  # no word is empty
 #: How many parts an occurrence is divided into among states.
@@ -277,46 +275,31 @@ def _symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes + 1
 
 
+def _slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Rows of BYTES of places together, or one row."""
+    for a, b in _groups(batch.column(at)):
+        yield batch.slice(a, b - a)
+
+
 def _expect(other: int, model):
-    """Expected counts over a partition's texts. Block -1: starts, moves and the log-likelihood; others: the places of symbols that come up, and their counts by state. Symbols from `other` on are that one, or the end."""
+    """Expected counts by state over a partition's texts. Symbols from 0: those that come up (from `other` on they are that one, or the end); -1: starts; below: moves from each state, in order, and at last the log-likelihood."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cpu_bound()
         hmm, total, log = model.value, None, 0.0
         k = len(hmm.start)
         for batch in batches:
-            if batch.num_rows:
-                symbols, sizes = _symbols(batch.column(0))
+            for part in _slices(batch, 0):
+                symbols, sizes = _symbols(part.column(0))
                 symbols = np.where(symbols < 0, other + 1, np.minimum(symbols, other))
                 total = hmm.no_counts() if total is None else total
                 log += hmm.forward(symbols, sizes, total).sum()
         if total is not None:
             emit = total[k + k * k :].reshape(k, -1).T
-            blocks, parts = [-1], [np.append(total[: k + k * k], log).tobytes()]
-            for a in range(0, len(emit), BLOCK):
-                some = np.flatnonzero(emit[a : a + BLOCK].any(axis=1))
-                blocks.append(a // BLOCK)
-                parts.append(some.astype("<u2").tobytes() + emit[a + some].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(parts, pa.binary())], ["block", "counts"])
-
-    return run
-
-
-def _add(k: int):
-    """Sums of blocks, as dense rows of counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if block < 0:
-                    sums[block] = sums.get(block, 0) + np.frombuffer(raw)
-                else:
-                    n = len(raw) // (2 + 4 * k)
-                    own = sums.setdefault(block, np.zeros((BLOCK, k)))
-                    own[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<f4", n * k, 2 * n).reshape(-1, k)
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["block", "counts"])
+            some = np.flatnonzero(emit.any(axis=1))
+            rows = np.concatenate([emit[some], total[: k + k * k].reshape(k + 1, k), np.full((1, k), log)])
+            numbers = np.concatenate([some, -1 - np.arange(k + 2)])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int32)), *(pa.array(np.ascontiguousarray(rows[:, s])) for s in range(k))], ["symbol", *(f"g{s}" for s in range(k))])
 
     return run
 
@@ -336,8 +319,8 @@ def _ask(lexicon, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cpu_bound()
         own, hmm = lexicon.value, model.value
-        k, none = len(hmm.start), len(own.place)
-        for batch in batches:
+        k, none, unused = len(hmm.start), len(own.place), hmm.no_counts()
+        for batch in (part for whole in batches for part in _slices(whole, 2)):
             rest, raw = batch.column(3), batch.column(2)
             asked = pc.list_value_length(rest).to_numpy(zero_copy_only=False).astype(np.int64)
             first = np.cumsum(asked) - asked
@@ -348,7 +331,7 @@ def _ask(lexicon, model):
                 symbols, sizes = _symbols(raw.take(pa.array(learn)))
                 word = np.where(symbols < none, -1, symbols - none + np.repeat(first[learn], sizes))
                 by_word = np.zeros((len(place), k))
-                hmm.forward(np.where(symbols < 0, own.end, np.minimum(symbols, own.other)), sizes, hmm.no_counts(), word, by_word)
+                hmm.forward(np.where(symbols < 0, own.end, np.minimum(symbols, own.other)), sizes, unused, word, by_word)
                 n = np.bincount(word[word >= 0], minlength=len(place)).astype(np.int32)
                 some = np.flatnonzero(n)
                 parts = _divide(by_word[some])
@@ -371,7 +354,7 @@ def _score(lexicon, model, never: np.ndarray, class_counts: np.ndarray, class_v:
         none, k = len(own.place), len(hmm.start)
         base = np.concatenate([hmm.emit[:none], never[None, :], hmm.emit[own.end :]])  # the dictionary, a word never seen, the end
         logs = np.append(np.log10(own.counts + 1.0), [0.0, np.log10(own.ends + 1.0)])
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, 2)):
             found = batch.column(3)
             n_found = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             flat = found.flatten()
@@ -429,16 +412,16 @@ def trained(training, share: np.ndarray, states: int, seed: int) -> Hmm:
         texts = texts.coalesce(max(texts.sparkSession.sparkContext.defaultParallelism, texts.rdd.getNumPartitions() // 4))
         for _ in range(ROUNDS if level < len(LEVELS) else WHOLE_ROUNDS):
             shared = texts.sparkSession.sparkContext.broadcast(model.single())
-            counts = texts.mapInArrow(tidy(_expect(len(share) - 2, shared)), "block int, counts binary")
-            sums = counts.repartition(8, "block").mapInArrow(tidy(_add(states)), "block int, counts binary")
-            blocks = {r.block: np.frombuffer(r.counts) for r in sums.toLocalIterator()}
+            counts = texts.mapInArrow(tidy(_expect(len(share) - 2, shared)), ", ".join(["symbol int", *(f"g{s} double" for s in range(states))]))
+            sums = counts.groupBy("symbol").agg(*[F.sum(f"g{s}").alias(f"g{s}") for s in range(states)]).toArrow()  # a row for each symbol at most
             shared.destroy()
-            if not blocks:  # no text of this share
+            if not sums.num_rows:  # no text of this share
                 break
-            first = blocks.pop(-1)
-            emit = np.concatenate([blocks[b].reshape(-1, states) for b in sorted(blocks)])[: len(share)]
-            model = model.estimate(np.concatenate([first[:-1], emit.T.ravel()]), share)
-            gain, before = first[-1] - before if before is not None else np.inf, first[-1]
+            rows = np.zeros((len(share) + states + 2, states))  # negative numbers count from the end
+            rows[sums.column(0).to_numpy()] = np.stack([sums.column(s + 1).to_numpy() for s in range(states)], axis=1)
+            emit, log = rows[: len(share)], rows[len(share), 0]
+            model = model.estimate(np.concatenate([rows[: len(share) - 1 : -1][: states + 1].ravel(), emit.T.ravel()]), share)
+            gain, before = log - before if before is not None else np.inf, log
             if gain < SETTLED * emit.sum():
                 break
     return model
