@@ -116,25 +116,33 @@ MAPPINGS = [
 ]
 
 
-def _holds(name: str) -> Callable[[Column], Column]:
-    return lambda m: m[name].isNotNull()
+def _field(name: str, has: Callable[[Column], Column] = F.isnotnull) -> Callable[[Column], Column]:
+    return lambda value: has(value[name])
+
+
+def _any(has: Callable[[Column], Column], values: Callable[[Column], Column] = lambda v: v) -> Callable[[Column], Column]:
+    return lambda value: F.exists(values(value), lambda x: has(x))
+
+
+def _below(kind: T.DataType) -> list[tuple[str, Callable[[Column], Column]]]:
+    """Every path below a value of this type, and whether a value holds it: of arrays and maps, in any element or value."""
+    if isinstance(kind, T.StructType):
+        own = [(f".{f.name}", _field(f.name)) for f in kind.fields]
+        return own + [(f".{f.name}{path}", _field(f.name, has)) for f in kind.fields for path, has in _below(f.dataType)]
+    if isinstance(kind, T.ArrayType):
+        return [(f"[]{path}", _any(has)) for path, has in _below(kind.elementType)]
+    if isinstance(kind, T.MapType):
+        return [(f"{{}}{path}", _any(has, F.map_values)) for path, has in _below(kind.valueType)]
+    return []
 
 
 def _leaves(schema: T.StructType) -> list[tuple[str, Column]]:
     """Every nested field path of a schema, with whether a record holds it."""
     out: list[tuple[str, Column]] = []
-
-    def walk(path: str, value: Column, kind: T.DataType) -> None:
-        out.append((path, value.isNotNull()))
-        if isinstance(kind, T.StructType):
-            for f in kind.fields:
-                walk(f"{path}.{f.name}", value[f.name], f.dataType)
-        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
-            for f in kind.elementType.fields:
-                out.append((f"{path}[].{f.name}", F.exists(value, _holds(f.name))))
-
     for f in schema.fields:
-        walk(f.name, F.col(f"`{f.name}`"), f.dataType)
+        value = F.col(f"`{f.name}`")
+        out.append((f.name, value.isNotNull()))
+        out += [(f.name + path, has(value)) for path, has in _below(f.dataType)]
     return out
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .chat_format import format_report
 from .common import table
@@ -24,8 +25,9 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
-    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
-    return format_report(rows.unionByName(own))
+    turns = [F.struct(F.lit(-1), F.lit(i), F.lit(role), F.lit(control)) for i, role in enumerate(("user", "assistant"))]
+    own = spark.range(1).select(F.inline(F.array(*turns))).toDF(*rows.columns)
+    return format_report(rows.unionAll(own.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields])))
 
 
 def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
