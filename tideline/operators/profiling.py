@@ -32,6 +32,13 @@ def nearest_ranks(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
     return upto.select("*", asked).filter((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("n"))).select("s.share", "value")
 
 
+def quartile_range(df: DataFrame, value: str) -> DataFrame:
+    """One row: the quartiles by nearest rank, and the distance between them."""
+    ranks = nearest_ranks(df, value, [0.25, 0.75])
+    ends = [F.max(F.when(F.col("share") == s, F.col("value"))).alias(n) for s, n in ((0.25, "p25"), (0.75, "p75"))]
+    return ranks.agg(*ends).select("p25", "p75", (F.col("p75") - F.col("p25")).alias("iqr"))
+
+
 def cadence_stats(df: DataFrame, order: Order = Order()) -> DataFrame:
     """One row: median, mean, sample deviation, least and largest step in seconds."""
     return deltas(df, order).agg(F.median("delta").alias("median_s"), F.avg("delta").alias("mean_s"), F.stddev_samp("delta").alias("stdev_s"), F.min("delta").alias("min_s"), F.max("delta").alias("max_s"))
@@ -52,14 +59,17 @@ def coverage(df: DataFrame, order: Order = Order()) -> DataFrame:
 
 
 def null_profile(df: DataFrame, order: Order = Order(), top: int = 10) -> DataFrame:
-    """(column, nulls, pct, longest): the columns with most nulls, and their longest run of them. Only null cells are spread out."""
+    """(column, nulls, pct, longest): the columns with most nulls, and their longest run of them; columns without any have 0. Only null cells are spread out."""
     columns = [c for c in df.columns if c not in (order.row, order.timestamp, *order.entities)]
     total = df.agg(F.count("*").alias("total"))
     cells = df.select(*order.entities, F.col(order.row).alias("row"), F.explode(F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in columns]))).alias("column"))
     own = Window.partitionBy(*order.entities, "column").orderBy("row")
     runs = cells.withColumn("run", F.col("row") - F.row_number().over(own)).groupBy(*order.entities, "column", "run").agg(F.count("*").alias("n"))
-    out = runs.groupBy("column").agg(F.sum("n").alias("nulls"), F.max("n").alias("longest"))
-    return out.join(total).select("column", "nulls", F.round(100.0 * F.col("nulls") / F.col("total"), 3).alias("pct"), "longest").orderBy(F.desc("nulls"), "column").limit(top)
+    some = runs.groupBy("column").agg(F.sum("n").alias("nulls"), F.max("n").alias("longest"))
+    every = total.select("total", F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    out = every.join(some, "column", "left").select("column", "total", zero("nulls"), zero("longest"))
+    return out.select("column", "nulls", F.round(100.0 * F.try_divide("nulls", "total"), 3).alias("pct"), "longest").orderBy(F.desc("nulls"), "column").limit(top)
 
 
 def co_missing(df: DataFrame, signals: list[str]) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Catalog
 from ..findings import detected, finding, frame
-from ..frames import ROW
+from ..frames import ROW, Order
+from ..operators.cleaning import deltas
 from ..policy import Settings, policy
 
 CHECK = "master_validation"
@@ -59,10 +60,11 @@ def timestamp_findings(df: DataFrame, timestamp: str = "timestamp", arrival: str
     nulls = df.agg(F.count_if(F.col(timestamp).isNull()).alias("n"))
     parts = [detected(nulls.filter("n > 0"), CHECK, "important", "timestamp_nat", "flag", none, none, F.col("n"))]
     if monotonic:
-        before = F.lag(timestamp).over(Window.orderBy(arrival)) if arrival in df.columns else None
-        worse = F.col(timestamp).isNull() if before is None else F.col(timestamp).isNull() | (F.col(timestamp) < before)
-        bad = df.select(worse.alias("bad")).agg(F.count_if("bad").alias("n")).filter("n > 0")
-        parts.append(detected(bad, CHECK, "important", "non_monotonic_timestamps", "flag", none, none, F.lit(0)))
+        bad = nulls
+        if arrival in df.columns:  # steps are taken in chunks, so no task has the whole table
+            back = deltas(df.select(timestamp, arrival), Order((), timestamp, arrival)).filter("delta < 0").agg(F.count("*").alias("n"))
+            bad = nulls.unionAll(back).agg(F.sum("n").alias("n"))
+        parts.append(detected(bad.filter("n > 0"), CHECK, "important", "non_monotonic_timestamps", "flag", none, none, F.lit(1)))
     if unique:
         repeats = df.groupBy(timestamp).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n")).filter("n > 0")
         parts.append(detected(repeats, CHECK, "important", "duplicate_timestamps", "flag", none, none, F.col("n")))
@@ -77,7 +79,7 @@ def null_budget_findings(df: DataFrame, most: float) -> DataFrame:
     columns = [c for c in df.columns if c != ROW]
     shares = df.agg(*[F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(c) for c in columns]).unpivot([], [F.col(f"`{c}`") for c in columns], "column", "share")
     own = shares.filter(F.col("share") > most)
-    return detected(own, CHECK, "important", "nan_budget_breach", "flag", F.lit(None), F.lit(None), F.lit(0), F.col("column"), F.struct(F.round("share", 6).alias("nan_fraction"), F.lit(most).alias("threshold")))
+    return detected(own, CHECK, "important", "nan_budget_breach", "flag", F.lit(None), F.lit(None), F.lit(1), F.col("column"), F.struct(F.round("share", 6).alias("nan_fraction"), F.lit(most).alias("threshold")))
 
 
 def schema_of(df: DataFrame) -> dict[str, str]:
@@ -123,7 +125,7 @@ def validate_master(df: DataFrame, settings: Settings | None = None, lock_path:
     if p.schema_lock:
         said += schema_findings(master, lock_path)
     columns = len([c for c in master.columns if c != ROW])
-    rows = detected(master.agg(F.count("*").alias("n")), CHECK, "normal", "master_summary", "none", F.lit(None), F.lit(None), F.col("n"), None, F.struct(F.col("n").alias("rows"), F.lit(columns).alias("columns")))
+    rows = detected(master.agg(F.count("*").alias("n")), CHECK, "normal", "master_summary", f"promote:{columns}", F.lit(None), F.lit(None), F.lit(columns), None, F.struct(F.col("n").alias("rows"), F.lit(columns).alias("columns")))
     found = frame(spark, said).unionByName(rows).unionByName(timestamp_findings(master, monotonic=p.require_monotonic_timestamps, unique=p.require_unique_timestamps))
     return master, found.unionByName(null_budget_findings(master, p.max_nan_fraction_per_column))
 

@@ -29,7 +29,7 @@ class Plan:
         self.findings.append(finding(check, severity, kind, f"add:{feature.name}", column, 1, **evidence))
         self.features.append(feature)
 
-    def say(self, check: str, kind: str, action: str, column: str | None = None, severity: str = "normal", count: int = 0, **evidence) -> None:
+    def say(self, check: str, kind: str, action: str, column: str | None = None, severity: str = "normal", count: int = 1, **evidence) -> None:
         self.findings.append(finding(check, severity, kind, action, column, count, **evidence))
 
 

@@ -1,7 +1,7 @@
 """Registered queries of the telemetry operators on the event table, and the SQL each is compared with.
 
 Events serve as telemetry of many machines: the user is the entity, `value` a sensor
-(null above 400), event types are flags. Every query covers the whole table.
+(null above 200, in a stretch of 0 to 40 rows, and for some rows at either end of a machine's record), event types are flags. Every query covers the whole table.
 """
 
 from __future__ import annotations
@@ -34,17 +34,20 @@ def machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("value")
     flag = lambda *kinds: F.when(F.col("event_type").isin(*kinds), 1.0).otherwise(0.0)
     own = e.select(
-        "user_id", "event_id", F.col("ts").alias("timestamp"), F.when(v <= 400, v).alias("x"), (v / 5).alias("power"), F.floor(v / 125).cast("double").alias("level"), F.floor(v / 250).cast("double").alias("aim"), v.alias("loose"),
+        "user_id", "event_id", F.col("ts").alias("timestamp"), v.alias("x"), (v / 5).alias("power"), F.floor(v / 125).cast("double").alias("level"), F.floor(v / 250).cast("double").alias("aim"), v.alias("loose"),
         F.lit(250.0).alias("sp"), flag("click", "view", "purchase").alias("granulator_g2_running"), flag("click", "purchase").alias("feeder_al2_running"), flag("error").alias("granulator_g2_alarm"),
     )
-    return ORDER.number(own, "event_id")
+    row, user, n = F.col("_row"), F.col("user_id"), F.count("*").over(ORDER.whole)
+    lost = (F.col("x") > 200) | ((row % 64 >= 12) & (row % 64 < 12 + user % 41)) | (row < user % 3) | (row >= n - user % 4)
+    return ORDER.number(own, "event_id").withColumn("x", F.when(~lost, F.col("x")))
 
 
 _M = """m AS (
-    SELECT user_id, event_id, ts AS timestamp, CASE WHEN value <= 400 THEN value END AS x, value / 5 AS power, floor(value / 125) AS level, floor(value / 250) AS aim, value AS loose, 250.0::DOUBLE AS sp,
+    SELECT * EXCLUDE (n_) REPLACE (CASE WHEN NOT (x > 200 OR (r % 64 >= 12 AND r % 64 < 12 + user_id % 41) OR r < user_id % 3 OR r >= n_ - user_id % 4) THEN x END AS x) FROM (
+    SELECT user_id, event_id, ts AS timestamp, value AS x, value / 5 AS power, floor(value / 125) AS level, floor(value / 250) AS aim, value AS loose, 250.0::DOUBLE AS sp,
         CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 1.0 ELSE 0.0 END::DOUBLE AS run, CASE WHEN event_type IN ('click', 'purchase') THEN 1.0 ELSE 0.0 END::DOUBLE AS run2, CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END::DOUBLE AS alarm,
-        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS r
-    FROM events
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS r, count(*) OVER (PARTITION BY user_id) AS n_
+    FROM events)
 )"""
 _O = "(PARTITION BY user_id ORDER BY timestamp, r)"
 _CUM = "(PARTITION BY user_id ORDER BY timestamp, r ROWS UNBOUNDED PRECEDING)"
@@ -139,19 +142,27 @@ def _gaps(spark, sf_dir):
     return _found(cleaning.detect_timestamps(machines(spark, sf_dir), _P, ORDER))
 
 
-@_query("timestamp_order", """SELECT 'unparseable_timestamp' AS finding_type, min(r) AS row_start, max(r) AS row_end, count(*) AS count FROM (SELECT row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS r, user_id FROM events) JOIN (SELECT event_id, user_id AS u, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS r2, value FROM events) ON u = user_id AND r2 = r WHERE value > 480
-    UNION ALL SELECT 'non_monotonic', min(r), max(r), count(*) FROM (SELECT r, timestamp < lag(timestamp) OVER (PARTITION BY user_id ORDER BY r) AS back FROM (SELECT user_id, ts AS timestamp, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS r FROM events) WHERE value <= 480) WHERE back HAVING count(*) > 0""")
+_ARRIVED = "a AS (SELECT user_id, event_id, CASE WHEN value <= 120 THEN CASE WHEN event_id % 17 = 0 THEN ts - INTERVAL 3 DAY ELSE ts END END AS ts, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS r FROM events)"
+
+
+def _arrived(spark, sf_dir):
+    """Events as they arrive: some timestamps can't be read, some lie days before those of their neighbours."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ts = F.when(F.col("event_id") % 17 == 0, F.col("ts") - F.expr("INTERVAL 3 DAY")).otherwise(F.col("ts"))
+    own = e.select("user_id", "event_id", F.when(F.col("value") <= 120, ts).alias("timestamp"))
+    return own.withColumn("_row", (F.row_number().over(Order(("user_id",), "event_id", "event_id").by_row) - 1).cast("long"))
+
+
+@_query("timestamp_order", f"""WITH {_ARRIVED} SELECT 'unparseable_timestamp' AS finding_type, min(r) AS row_start, max(r) AS row_end, count(*) AS count FROM a WHERE ts IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'non_monotonic', min(r), max(r), count(*) FROM (SELECT r, ts < lag(ts) OVER (PARTITION BY user_id ORDER BY r) AS back FROM a WHERE ts IS NOT NULL) WHERE back HAVING count(*) > 0""")
 def _arrival(spark, sf_dir):
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id", F.when(F.col("value") <= 480, F.col("ts")).alias("timestamp"), "value")
-    own = e.select("*", (F.row_number().over(Order(("user_id",), "event_id", "event_id").by_row) - 1).cast("long").alias("_row"))
-    found = cleaning.detect_timestamps(own, _P, ORDER)
+    found = cleaning.detect_timestamps(_arrived(spark, sf_dir), _P, ORDER)
     return found.filter(F.col("severity") == "critical").select("finding_type", "row_start", "row_end", "count")
 
 
-@_query("timestamp_apply", """SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS _row FROM events WHERE value <= 480""")
+@_query("timestamp_apply", f"""WITH {_ARRIVED} SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, r) - 1 AS _row FROM a WHERE ts IS NOT NULL""")
 def _timestamps(spark, sf_dir):
-    m = machines(spark, sf_dir).withColumn("timestamp", F.when(F.col("loose") <= 480, F.col("timestamp")))
-    return cleaning.apply_timestamps(m, ORDER).select("event_id", "_row")
+    return cleaning.apply_timestamps(_arrived(spark, sf_dir), ORDER).select("event_id", "_row")
 
 
 def _hourly(spark, sf_dir):
@@ -308,16 +319,24 @@ def _resample(spark, sf_dir):
 # datasets
 
 
-@_query("nan_budget", """ SELECT 'nan_budget_breach' AS finding_type, 'x' AS "column", 'important' AS severity FROM m HAVING avg(CASE WHEN x IS NULL THEN 1.0 ELSE 0.0 END) > 0.01""")
+@_query("nan_budget", """ SELECT 'nan_budget_breach' AS finding_type, 'x' AS "column", 'important' AS severity, 1 AS count FROM m HAVING avg(CASE WHEN x IS NULL THEN 1.0 ELSE 0.0 END) > 0.01""")
 def _budget(spark, sf_dir):
-    return datasets.null_budget_findings(machines(spark, sf_dir), 0.01).select("finding_type", "column", "severity")
+    return datasets.null_budget_findings(machines(spark, sf_dir), 0.01).select("finding_type", "column", "severity", "count")
 
 
-@_query("timestamp_checks", """, t AS (SELECT CASE WHEN loose <= 480 THEN date_trunc('hour', timestamp) END AS ts FROM m) SELECT 'timestamp_nat' AS finding_type, count(*) AS count FROM t WHERE ts IS NULL UNION ALL SELECT 'non_monotonic_timestamps', 0
-    UNION ALL SELECT 'duplicate_timestamps', (SELECT count(*) FROM t) - (SELECT count(*) FROM (SELECT DISTINCT ts FROM t))""")
+@_query("timestamp_checks", f"""WITH {_ARRIVED}, o AS (SELECT ts, ts < lag(ts) OVER (ORDER BY event_id) AS back FROM a WHERE ts IS NOT NULL)
+    SELECT 'timestamp_nat' AS finding_type, count(*) AS count FROM a WHERE ts IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'non_monotonic_timestamps', 1 WHERE EXISTS (SELECT 1 FROM a WHERE ts IS NULL) OR EXISTS (SELECT 1 FROM o WHERE back)
+    UNION ALL SELECT 'duplicate_timestamps', sum(n - 1)::BIGINT FROM (SELECT count(*) AS n FROM a GROUP BY ts) HAVING sum(n - 1) > 0""")
 def _ts_checks(spark, sf_dir):
-    own = machines(spark, sf_dir).withColumn("timestamp", F.when(F.col("loose") <= 480, F.date_trunc("hour", "timestamp")))
-    return datasets.timestamp_findings(own.withColumn("_row", F.col("event_id"))).select("finding_type", "count")
+    return datasets.timestamp_findings(_arrived(spark, sf_dir).withColumn("_row", F.col("event_id"))).select("finding_type", "count")
+
+
+@_query("timestamp_unordered", """WITH a AS (SELECT event_id, CASE WHEN event_id % 17 = 0 THEN ts - INTERVAL 3 DAY ELSE ts END AS ts FROM events) SELECT 'non_monotonic_timestamps' AS finding_type, 1 AS count WHERE EXISTS (SELECT 1 FROM (SELECT ts < lag(ts) OVER (ORDER BY event_id) AS back FROM a) WHERE back)""")
+def _ts_unordered(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ts = F.when(F.col("event_id") % 17 == 0, F.col("ts") - F.expr("INTERVAL 3 DAY")).otherwise(F.col("ts"))
+    return datasets.timestamp_findings(e.select(ts.alias("timestamp"), F.col("event_id").alias("_row")), unique=False).select("finding_type", "count")
 
 
 @_query("projection", " SELECT event_id, x, power, level FROM m")
@@ -358,11 +377,20 @@ def _coverage(spark, sf_dir):
     return profiling.coverage(machines(spark, sf_dir), _ALL)
 
 
-@_query("longest_null_run", _NR + """ SELECT 'x' AS "column", sum(n)::BIGINT AS nulls, round(100.0 * sum(n) / (SELECT count(*) FROM m), 3)::DOUBLE AS pct, max(n) AS longest FROM n""")
+_PROFILED = ["event_id", "x", "power", "level", "aim", "loose", "sp", "granulator_g2_running", "feeder_al2_running", "granulator_g2_alarm"]
+
+
+@_query("longest_null_run", _NR + f""", u AS (SELECT unnest({_PROFILED}) AS "column"), w AS (SELECT sum(n)::BIGINT AS nulls, max(n) AS longest FROM n)
+    SELECT "column", CASE WHEN "column" = 'x' THEN coalesce(nulls, 0) ELSE 0 END AS nulls, CASE WHEN "column" = 'x' THEN round(100.0 * coalesce(nulls, 0) / (SELECT count(*) FROM m), 3) ELSE 0 END::DOUBLE AS pct, CASE WHEN "column" = 'x' THEN coalesce(longest, 0) ELSE 0 END AS longest FROM u, w""")
 def _null_profile(spark, sf_dir):
     return profiling.null_profile(machines(spark, sf_dir), ORDER)
 
 
+@_query("quartile_range", ", k AS (SELECT loose, row_number() OVER (ORDER BY loose) - 1 AS i, count(*) OVER () AS n FROM m WHERE loose IS NOT NULL), q AS (SELECT max(loose) FILTER (i = round_even(0.25 * (n - 1), 0)) AS p25, max(loose) FILTER (i = round_even(0.75 * (n - 1), 0)) AS p75 FROM k) SELECT p25, p75, p75 - p25 AS iqr FROM q")
+def _iqr(spark, sf_dir):
+    return profiling.quartile_range(machines(spark, sf_dir), "loose")
+
+
 @_query("co_missing", " SELECT count(*) FILTER (x IS NULL OR power IS NULL) AS any_null, count(*) FILTER (x IS NULL AND power IS NULL) AS all_null FROM m")
 def _co_missing(spark, sf_dir):
     return profiling.co_missing(machines(spark, sf_dir), ["x", "power"])
