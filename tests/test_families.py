@@ -7,10 +7,11 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tideline.frames import add_features, clean_numbers
+from tideline.frames import Order, add_features, clean_numbers
 from tideline.functions.families import Families
-from tideline.plans.scaleout import add_bounded_features, chunk_order, numbered, running
+from tideline.plans.scaleout import add_bounded_features, add_features_in_chunks, chunk_order, numbered, running
 
 
 def column(df, name):
@@ -19,7 +20,7 @@ def column(df, name):
 
 def run(df, order, make):
     feature = make(Families(order))
-    return column(add_features(df, [feature]), feature.name)
+    return column(add_features(df, [feature], Order()), feature.name)
 
 
 def test_leak_safe_mean(series, order):
@@ -110,7 +111,7 @@ def test_chunks_equal_one_window(spark, series, order):
     draw = random.Random(5)
     df = series([None if draw.random() < 0.1 else draw.random() for _ in range(500)])
     make = lambda f: [f.rolling_mean("x", 15), f.rolling_z("x", 60), f.acceleration("x", 5), f.sign_changes("x", 15)]
-    want = add_features(df, make(Families(order))).orderBy("_row").collect()
+    want = add_features(df, make(Families(order)), order).orderBy("_row").collect()
     own = numbered(df.drop("_row"), "timestamp")
     found = add_bounded_features(own, make(Families(chunk_order())), 62, 100).orderBy("_row").collect()
     for a, b in zip(want, found, strict=True):
@@ -118,9 +119,31 @@ def test_chunks_equal_one_window(spark, series, order):
             assert (a[k] is None and b[k] is None) or a[k] == pytest.approx(b[k], abs=1e-9)
 
 
-def test_running_totals(series):
-    from pyspark.sql import functions as F
+@pytest.mark.parametrize("chunk_rows", [70, 100, 333, 10_000])
+def test_running_values_cross_chunks(series, order, chunk_rows):
+    """Flags that are on long before, days and starts that go over several chunks, and statistics of all rows."""
+    draw = random.Random(9)
+    n = 700
+    df = series([None if draw.random() < 0.1 else draw.gauss(3, 2) for _ in range(n)], on=[float(i in (3, 4, 250) or 400 < i < 620) for i in range(n)], kg=[draw.random() for _ in range(n)]).withColumn("timestamp", F.timestamp_seconds(F.col("_row") * 400))
+
+    def make(f):
+        return [
+            f.tsla("on"), f.edges("on", 15), f.cumulative_energy("x", 0.5), f.cumulative_energy_daily("x", 0.5), f.energy_per_kg("x", "kg", 15, 1 / 60), f.time_since_machine_off(["on"]), f.cumulative_starts(["on"]),
+            f.time_since_any_alarm(["on"]), f.total_alarms(["on"], 30), f.global_z("x"), f.rolling_mean("x", 60), f.lag("x", 5), f.robust_z("x", 15),
+        ]
+
+    want = add_features(df, make(Families(order)), Order()).orderBy("_row").collect()
+    own = Families(chunk_order())
+    features = make(own)
+    out = add_features_in_chunks(df, features, own.reach, "timestamp", chunk_rows)
+    found = out.orderBy("_row").collect()
+    assert own.reach == 72 and out.columns == want[0].__fields__ and len(found) == n
+    for a, b in zip(want, found, strict=True):
+        for f in features:
+            assert (a[f.name] is None and b[f.name] is None) or a[f.name] == pytest.approx(b[f.name], abs=1e-9), (f.name, a["_row"])
 
+
+def test_running_totals(series):
     df = series([float(i % 3) for i in range(250)])
     out = running(df, {"total": ("sum", F.col("x")), "last_two": ("max", F.when(F.col("x") == 2, F.col("_row")))}, 40).orderBy("_row").collect()
     assert [r["total"] for r in out] == list(np.cumsum([i % 3 for i in range(250)]))

@@ -66,7 +66,11 @@ class Order:
         return self.spec.rowsBetween(-size if first else 1 - size, end)
 
     def number(self, df: DataFrame, *ties: str) -> DataFrame:
-        """df with the ordinal of each row, from 0, by timestamp and ties."""
+        """df with the ordinal of each row, from 0, by timestamp and ties. One series is dealt by range, so no task holds it."""
+        if not self.entities:
+            from .plans.scaleout import numbered
+
+            return numbered(df, self.timestamp, *ties, row=self.row)
         own = Window.partitionBy(*self.entities).orderBy(self.timestamp, *ties)
         return df.withColumn(self.row, (F.row_number().over(own) - 1).cast("long"))
 
@@ -118,25 +122,58 @@ def array_mad(values: Column) -> Column:
     return let(F.sort_array(values), lambda v: let(array_median(v), lambda m: array_median(F.sort_array(F.transform(v, lambda x: F.abs(x - m))))))
 
 
+@dataclass(frozen=True)
+class Running:
+    """A value over all rows up to each: the sum or max, or the sum since the last row where `reset` holds; or the mean or std of all rows, behind and ahead."""
+
+    name: str
+    how: str
+    value: Column
+    reset: Column | None = None
+
+
 @dataclass(frozen=True)
 class Feature:
-    """A derived column in three levels, each over the ones before: values of the row and its neighbours, windows over these, and arithmetic. Equal names of the first two levels are computed once."""
+    """A derived column in three levels, each over the ones before: values of the row and its neighbours, windows of bounded reach and running values over these, and arithmetic. Equal names of the first two levels are computed once."""
 
     name: str
     out: Column
     windows: tuple[tuple[str, Column], ...] = ()
     helpers: tuple[tuple[str, Column], ...] = ()
+    running: tuple[Running, ...] = ()
+
+
+def with_level(df: DataFrame, features: Iterable[Feature], level: str) -> DataFrame:
+    new = {n: c for f in features for n, c in getattr(f, level)}
+    return df.select("*", *[c.alias(n) for n, c in new.items()]) if new else df
+
+
+def running_of(features: Iterable[Feature]) -> list[Running]:
+    return list({r.name: r for f in features for r in f.running}.values())
+
+
+def outcome(columns: list[str], features: Iterable[Feature]) -> list[Column]:
+    return [*[F.col(f"`{c}`") for c in columns], *[f.out.alias(f.name) for f in features]]
+
+
+def since(df: DataFrame, runs: list[Running], order: Order) -> DataFrame:
+    """df with, for sums since a reset, the sum so far (__upto_) and what it was before the last reset (__base_)."""
+    own = [r for r in runs if r.how == "since"]
+    df = df.select("*", *[F.sum(r.value).over(order.to_here).alias(f"__upto_{r.name}") for r in own]) if own else df
+    last = lambda r: F.last(F.when(r.reset, F.col(f"__upto_{r.name}") - r.value), ignorenulls=True).over(order.to_here)
+    return df.select("*", *[last(r).alias(f"__base_{r.name}") for r in own]) if own else df
 
 
-def add_features(df: DataFrame, features: Iterable[Feature]) -> DataFrame:
-    """df with all features: one projection for each level, whatever their number."""
-    features = list(features)
-    own = df.columns
-    for level in ("helpers", "windows"):
-        new = {n: c for f in features for n, c in getattr(f, level)}
-        if new:
-            df = df.select("*", *[c.alias(n) for n, c in new.items()])
-    return df.select(*[F.col(f"`{c}`") for c in own], *[f.out.alias(f.name) for f in features])
+def add_features(df: DataFrame, features: Iterable[Feature], order: Order | None = None) -> DataFrame:
+    """df with all features: a projection for each level, whatever their number. order: needed for running values."""
+    features, own = list(features), df.columns
+    runs = running_of(features)
+    df = with_level(with_level(df, features, "helpers"), features, "windows")
+    if runs:
+        df = since(df, runs, order)
+        plain = {"sum": lambda r: F.sum(r.value).over(order.to_here), "max": lambda r: F.max(r.value).over(order.to_here), "mean": lambda r: F.avg(r.value).over(order.whole), "std": lambda r: F.stddev_samp(r.value).over(order.whole), "since": lambda r: F.col(f"__upto_{r.name}") - F.col(f"__base_{r.name}")}
+        df = df.select("*", *[plain[r.how](r).alias(r.name) for r in runs])
+    return df.select(*outcome(own, features))
 
 
 def islands(df: DataFrame, starts: Column, order: Order, name: str = "island", by: WindowSpec | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..frames import Feature, Order, array_mad, at_least, flag01, flag_periods, safe_div, signal_periods, zero_if_null
+from ..frames import Feature, Order, Running, array_mad, at_least, flag01, flag_periods, safe_div, signal_periods, zero_if_null
 
 
 class Families:
@@ -13,25 +13,36 @@ class Families:
 
     def __init__(self, order: Order):
         self.order = order
+        #: Rows that features made so far look back, at most: the largest window, and twice the largest lag.
+        self.size, self.back = 0, 1
+
+    @property
+    def reach(self) -> int:
+        return self.size + 2 * self.back + 2
+
+    def _over(self, size: int, closed: str):
+        self.size = max(self.size, size)
+        return self.order.rolling(size, closed)
 
     # windows over a column; the name says everything that tells two apart
 
     def _roll(self, kind: str, col: str, size: int, closed: str, value: Column, counted: Column, least: int) -> tuple[str, Column]:
-        return f"__{kind}_{col}_{size}_{closed}_{least}", at_least(value, counted, self.order.rolling(size, closed), least)
+        return f"__{kind}_{col}_{size}_{closed}_{least}", at_least(value, counted, self._over(size, closed), least)
 
     def mean_of(self, col: str, size: int, closed: str = "left", kind: str = "mean", least: int | None = None) -> tuple[str, Column]:
-        over = self.order.rolling(size, closed)
+        over = self._over(size, closed)
         return self._roll(kind, col, size, closed, F.avg(col).over(over), F.col(col), signal_periods(size) if least is None else least)
 
     def std_of(self, col: str, size: int, closed: str = "left") -> tuple[str, Column]:
-        over = self.order.rolling(size, closed)
+        over = self._over(size, closed)
         return self._roll("std", col, size, closed, F.stddev_samp(col).over(over), F.col(col), signal_periods(size))
 
     def sum_of(self, col: str, size: int, closed: str, least: int) -> tuple[str, Column]:
-        over = self.order.rolling(size, closed)
+        over = self._over(size, closed)
         return self._roll("sum", col, size, closed, F.sum(col).over(over), F.col(col), least)
 
     def lag_of(self, col: str, n: int) -> tuple[str, Column]:
+        self.back = max(self.back, n)
         return f"__lag_{col}_{n}", F.lag(col, n).over(self.order.spec)
 
     def diff_of(self, col: str) -> tuple[str, Column]:
@@ -100,13 +111,13 @@ class Families:
         return Feature(f"{col}_stdratio_{short}_{long}", safe_div(*parts, eps), tuple(windows))
 
     def rolling_range(self, col: str, size: int, closed: str = "left") -> Feature:
-        over = self.order.rolling(size, closed)
+        over = self._over(size, closed)
         w = self._roll("range", col, size, closed, F.max(col).over(over) - F.min(col).over(over), F.col(col), signal_periods(size))
         return Feature(f"{col}_range_{size}", F.col(w[0]), (w,))
 
     def _mad(self, col: str, size: int, closed: str) -> tuple[tuple[str, Column], Column]:
         """The window's values, and their MAD: null if any of them is null or they are too few."""
-        over = self.order.rolling(size, closed)
+        over = self._over(size, closed)
         held = F.when((F.count(col).over(over) == F.count(F.lit(1)).over(over)) & (F.count(col).over(over) >= signal_periods(size)), F.collect_list(col).over(over))
         w = f"__values_{col}_{size}_{closed}", held
         return w, array_mad(F.col(w[0]))
@@ -121,15 +132,15 @@ class Families:
 
     def robust_z(self, col: str, size: int, closed: str = "left", eps: float = 1e-6) -> Feature:
         """(x - median) / (1.4826 MAD); the median leaves out nulls, the MAD doesn't bear any."""
-        over = self.order.rolling(size, closed)
+        over = self._over(size, closed)
         m = self._roll("median", col, size, closed, F.percentile(F.col(col), F.lit(0.5)).over(over), F.col(col), signal_periods(size))
         w, mad = self._mad(col, size, closed)
         return Feature(f"{col}_robust_z_{size}", safe_div(F.col(col) - F.col(m[0]), 1.4826 * mad, eps), (m, w))
 
     def global_z(self, col: str, eps: float = 1e-6) -> Feature:
         """Against mean and std of all rows: it sees the future, so it is off by default."""
-        m, s = (f"__all_mean_{col}", F.avg(col).over(self.order.whole)), (f"__all_std_{col}", F.stddev_samp(col).over(self.order.whole))
-        return Feature(f"{col}_z_global", F.when(F.col(s[0]) >= eps, (F.col(col) - F.col(m[0])) / F.col(s[0])), (m, s))
+        m, s = Running(f"__all_mean_{col}", "mean", F.col(col)), Running(f"__all_std_{col}", "std", F.col(col))
+        return Feature(f"{col}_z_global", F.when(F.col(s.name) >= eps, (F.col(col) - F.col(m.name)) / F.col(s.name)), running=(m, s))
 
     # flags
 
@@ -141,8 +152,8 @@ class Families:
     def tsla(self, col: str, name: str | None = None) -> Feature:
         """Rows since the flag was last on: 0 while it is, null before."""
         row = F.col(self.order.row)
-        w = f"__active_{col}", F.max(F.when(zero_if_null(F.col(col)) != 0, row)).over(self.order.to_here)
-        return Feature(name or f"{col}_tsla", (row - F.col(w[0])).cast("double"), (w,))
+        w = Running(f"__active_{col}", "max", F.when(zero_if_null(F.col(col)) != 0, row))
+        return Feature(name or f"{col}_tsla", (row - F.col(w.name)).cast("double"), running=(w,))
 
     def edge_of(self, col: str) -> tuple[str, Column]:
         flag = zero_if_null(F.col(col))
@@ -157,17 +168,15 @@ class Families:
     # energy
 
     def cumulative_energy(self, col: str, hours: float) -> Feature:
-        w = f"__cum_{col}", F.sum(zero_if_null(F.col(col)) * hours).over(self.order.to_here)
-        return Feature(f"{col}_cumkwh", F.col(w[0]), (), (w,))
+        w = Running(f"__cum_{col}", "sum", zero_if_null(F.col(col)) * hours)
+        return Feature(f"{col}_cumkwh", F.col(w.name), running=(w,))
 
     def cumulative_energy_daily(self, col: str, hours: float) -> Feature:
-        """The same from midnight on. It is the lifetime sum less its value at the end of the day before, so it shares the common window."""
-        total = F.sum(zero_if_null(F.col(col)) * hours).over(self.order.to_here)
+        """The same from midnight on."""
         day = F.to_date(self.order.timestamp)
-        h = (f"__cum_{col}", total), (f"__first_{self.order.timestamp}", ~F.coalesce(F.lag(day, 1).over(self.order.spec) == day, F.lit(False)))
-        before = F.col(h[0][0]) - zero_if_null(F.col(col)) * hours
-        w = f"__cumday_{col}", F.last(F.when(F.col(h[1][0]), before), ignorenulls=True).over(self.order.to_here)
-        return Feature(f"{col}_cumkwh_day", F.col(h[0][0]) - F.col(w[0]), (w,), h)
+        h = f"__first_{self.order.timestamp}", ~F.coalesce(F.lag(day, 1).over(self.order.spec) == day, F.lit(False))
+        w = Running(f"__cumday_{col}", "since", zero_if_null(F.col(col)) * hours, F.col(h[0]))
+        return Feature(f"{col}_cumkwh_day", F.col(w.name), (), (h,), (w,))
 
     def energy_per_kg(self, power: str, production: str, size: int, hours: float, closed: str = "left", eps: float = 1e-6) -> Feature:
         h = (f"__flag_{power}", zero_if_null(F.col(power))), (f"__kg_{production}", zero_if_null(F.col(production)) * (hours * 60.0))
@@ -190,15 +199,15 @@ class Families:
         """Rows since the last start; a record that begins with the machine on starts at its first row."""
         on, row = self.any_flag(cols), F.col(self.order.row)
         h = "__any_running_start", F.when((on > 0) & (F.lag(on, 1, 0.0).over(self.order.spec) <= 0), row)
-        w = "__last_start", F.max(h[0]).over(self.order.to_here)
-        return Feature("time_since_machine_off", (row - F.col(w[0])).cast("double"), (w,), (h,))
+        w = Running("__last_start", "max", F.col(h[0]))
+        return Feature("time_since_machine_off", (row - F.col(w.name)).cast("double"), (), (h,), (w,))
 
     def cumulative_starts(self, cols: list[str]) -> Feature:
         """Rises so far; unlike above, being on in the first row is none."""
         on = self.any_flag(cols)
         h = "__any_running_edge", F.greatest(F.lit(0.0), F.coalesce(on - F.lag(on, 1).over(self.order.spec), F.lit(0.0)))
-        w = "__starts", F.sum(h[0]).over(self.order.to_here)
-        return Feature("cumulative_starts", F.col(w[0]), (w,), (h,))
+        w = Running("__starts", "sum", F.col(h[0]))
+        return Feature("cumulative_starts", F.col(w.name), (), (h,), (w,))
 
     def total_alarms(self, cols: list[str], size: int, closed: str = "left") -> Feature:
         total = F.lit(0.0)
@@ -211,8 +220,8 @@ class Families:
 
     def time_since_any_alarm(self, cols: list[str]) -> Feature:
         row = F.col(self.order.row)
-        w = "__last_alarm", F.max(F.when(self.any_flag(cols) > 0, row)).over(self.order.to_here)
-        return Feature("time_since_any_alarm", (row - F.col(w[0])).cast("double"), (w,))
+        w = Running("__last_alarm", "max", F.when(self.any_flag(cols) > 0, row))
+        return Feature("time_since_any_alarm", (row - F.col(w.name)).cast("double"), running=(w,))
 
     def any_alarm_while_running(self, alarms: list[str], running: list[str]) -> Feature:
         both = (self.any_flag(alarms) > 0) & (self.any_flag(running) > 0)

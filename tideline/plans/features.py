@@ -16,6 +16,7 @@ from ..findings import finding, frame
 from ..frames import Feature, Order, add_features, clean_numbers, flag_periods, micros, safe_div, signal_periods
 from ..functions.families import Families
 from ..policy import FAMILIES, Settings, families_of
+from .scaleout import add_features_in_chunks, chunk_order
 
 _SHORT = {"rolling_mean": "mean", "rolling_std": "std", "rolling_trend": "trend", "lag": "lag", "pct_change": "pctchg", "velocity": "velocity"}
 
@@ -24,6 +25,8 @@ _SHORT = {"rolling_mean": "mean", "rolling_std": "std", "rolling_trend": "trend"
 class Plan:
     findings: list[tuple] = field(default_factory=list)
     features: list[Feature] = field(default_factory=list)
+    #: What the features are made with.
+    make: Families | None = None
 
     def add(self, check: str, kind: str, column: str | None, feature: Feature, severity: str = "normal", **evidence) -> None:
         self.findings.append(finding(check, severity, kind, f"add:{feature.name}", column, 1, **evidence))
@@ -34,7 +37,8 @@ class Plan:
 
 
 def plan_time_series(columns: list[str], catalog: Catalog, policy: Settings, order: Order = Order()) -> Plan:
-    make, plan = Families(order), Plan()
+    plan = Plan()
+    make = plan.make = Families(order)
     signals = [(c, k) for c in columns if (k := catalog.of(c)) not in (None, "state_flag", "alarm")]
     for column, kind in signals:
         own = families_of(policy, kind, column)
@@ -64,7 +68,8 @@ def plan_time_series(columns: list[str], catalog: Catalog, policy: Settings, ord
 
 
 def plan_engineering(columns: list[str], catalog: Catalog, policy: Settings, order: Order = Order()) -> Plan:
-    make, plan, have = Families(order), Plan(), set(columns)
+    plan, have = Plan(), set(columns)
+    make = plan.make = Families(order)
     of = lambda kinds: catalog.in_category(columns, *kinds)
 
     p = policy.temporal_derivatives
@@ -220,6 +225,18 @@ def rule_seconds(rule: str) -> int:
     return int(m[1] or 1) * units[m[2].lower()]
 
 
+def dealt(order: Order) -> Order:
+    """The order that features are made for: one series goes in chunks."""
+    return order if order.entities else chunk_order(order.timestamp)
+
+
+def made(df: DataFrame, plan: Plan, order: Order) -> DataFrame:
+    """df with the plan's features. One series takes each chunk of its rows with the rows before it that windows reach."""
+    if order.entities:
+        return add_features(clean_numbers(df), plan.features, order)
+    return add_features_in_chunks(clean_numbers(df), plan.features, plan.make.reach, order.timestamp)
+
+
 def run_time_series(df: DataFrame, catalog: Catalog, policy: Settings, order: Order = Order()) -> tuple[DataFrame, DataFrame]:
     """(features, findings). df has the ordinal column."""
     said: list[tuple] = []
@@ -243,15 +260,15 @@ def run_time_series(df: DataFrame, catalog: Catalog, policy: Settings, order: Or
         said.append(finding("resampling", "aware", "resample", f"resample({policy.resampling.rule})"))
     else:
         said.append(finding("resampling", "normal", "skipped", "noop", reason="disabled"))
-    plan = plan_time_series(df.columns, catalog, policy, order)
+    plan = plan_time_series(df.columns, catalog, policy, dealt(order))
     found = frame(spark, said + plan.findings)
-    return add_features(clean_numbers(df), plan.features), found if counted is None else found.unionByName(counted)
+    return made(df, plan, order), found if counted is None else found.unionByName(counted)
 
 
 def run_engineering(df: DataFrame, catalog: Catalog, policy: Settings, order: Order = Order()) -> tuple[DataFrame, DataFrame]:
     """(engineered, findings). Ratios that are null too often are told of, from one pass over them."""
-    plan = plan_engineering(df.columns, catalog, policy, order)
-    out = add_features(clean_numbers(df), plan.features)
+    plan = plan_engineering(df.columns, catalog, policy, dealt(order))
+    out = made(df, plan, order)
     found = frame(df.sparkSession, plan.findings)
     names = [f.name for f in plan.features if f.name in {r.name for r in policy.physical_ratios.ratios}] if policy.physical_ratios.enabled else []
     if names:

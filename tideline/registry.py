@@ -63,7 +63,7 @@ def _feature(name: str, make: Callable[[Families], list[Feature]], select: str,
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         own = make(Families(ORDER))
-        return add_features(machines(spark, sf_dir), own).select("event_id", *[F.round(F.col(f.name).cast("double"), 6).alias(f.name) for f in own])
+        return add_features(machines(spark, sf_dir), own, ORDER).select("event_id", *[F.round(F.col(f.name).cast("double"), 6).alias(f.name) for f in own])
 
     QUERIES[name] = run
     ORACLE[name] = f"WITH {_M}{ctes} SELECT event_id, {select} FROM {source}"
