@@ -21,6 +21,8 @@ CHUNK_ROWS = 1_000_000
 CHUNK, HALO = "_chunk", "_halo"
 #: Rows of a chunk where hundreds of features are made of each.
 FEATURE_ROWS = 20_000
+#: Partitions that chunks are dealt to, at most.
+MOST_PARTITIONS = 100_000
 #: Chunks that a side may have at most to be broadcast.
 BROADCAST_CHUNKS = 100_000
 
@@ -75,7 +77,10 @@ def add_features_in_chunks(df: DataFrame, features: list[Feature], halo: int, ti
     """df (numbered without holes) with features made for chunk_order(): windows look back `halo` rows at most, and running values go on from chunk to chunk. A first pass over the running values' columns gives each chunk's totals; the chunks before are added up in a table with a row for each chunk."""
     order, chunk_rows = chunk_order(timestamp), max(chunk_rows, halo)
     runs = running_of(features)
-    own = with_level(in_chunks(df, halo, chunk_rows), features, "helpers")
+    # so many partitions are asked for: adaptive execution would put chunks together, as it sees their bytes and not the hundreds of windows
+    last = df.agg(F.max(ROW)).first()[0]
+    parts = min(MOST_PARTITIONS, 2 * ((last or 0) // chunk_rows + 1))
+    own = with_level(in_chunks(df, halo, chunk_rows).repartition(parts, CHUNK), features, "helpers")
     if not runs:
         return with_level(own, features, "windows").filter(~F.col(HALO)).select(*outcome(df.columns, features))
     value, reset = (lambda r: F.when(~F.col(HALO), r.value)), (lambda r: F.when(~F.col(HALO), r.reset))
