@@ -38,20 +38,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fresh, tidy
+from .common import fresh, release, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 3
 #: Nodes that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 MARK = "▁"
 RAW_MARK = MARK.encode()
 #: Letters of a word up to which it is encoded with others, and words that are.
 LONG = 48
 TOGETHER = 4096
 #: Bytes of text that go together (one text at least), and words that go down their trees together.
-BYTES = 2 << 20
+BYTES = 1 << 19
 WALK = 1 << 15
 GOLDEN = 0x9E3779B97F4A7C15
 #: In pairs of pieces: bits of one, and what stands for no piece.
@@ -84,7 +84,7 @@ class Codec:
         self.pieces = pa.array(self.out, pa.binary())
         self.lines = not any(len(p) > 1 and "\n" in p for p in self.rank)
         #: What each letter is: its piece, or n + its number if it has none.
-        self.single = np.arange(n, n + 0x110000)
+        self.single = np.arange(n, n + 0x110000, dtype=np.int32)
         for piece, (_, own) in self.rank.items():
             if len(piece) == 1:
                 self.single[ord(piece)] = own
@@ -98,7 +98,7 @@ class Codec:
 
     def _hash_pairs(self, pairs: np.ndarray, makes: np.ndarray) -> None:
         """A table with open addressing: pairs of pieces that make a piece, and which."""
-        bits = max(4, int(len(pairs) * 4).bit_length())
+        bits = max(4, int(len(pairs) * 2).bit_length())
         self.shift = np.uint64(64 - bits)
         self.keys, self.makes = np.full((1 << bits) + len(pairs) + 1, -1, np.int64), np.full((1 << bits) + len(pairs) + 1, -1, np.int32)
         at, left = self._slot(pairs), np.arange(len(pairs))
@@ -132,14 +132,14 @@ class Codec:
         """Empty the memory; its first node is a marker letter of the text itself."""
         self.roots: dict[bytes, int] = {RAW_MARK: 0}
         #: Letters of words, where each word's start, and how many it has.
-        self.letters, self.letters_at, self.letters_n = Grown(np.int32, []), Grown(np.int64, [0]), Grown(np.int64, [0])
+        self.letters, self.letters_at, self.letters_n = Grown(np.int32, []), Grown(np.int32, [0]), Grown(np.int16, [0])
         #: For each node its word, the word's hash, the node that it comes from, the candidate skipped there, and how many are.
-        self.word_of, self.hash = Grown(np.int64, [0]), Grown(np.uint64, [0])
-        self.parent, self.code, self.depth = Grown(np.int64, [-1]), Grown(np.int64, [0]), Grown(np.int64, [0])
+        self.word_of, self.hash = Grown(np.int32, [0]), Grown(np.uint64, [0])
+        self.parent, self.code, self.depth = Grown(np.int32, [-1]), Grown(np.int32, [0]), Grown(np.int16, [0])
         #: For each node where its ids and its candidates start, and how many it has.
         mark = [self.byte[b] for b in RAW_MARK]
-        self.ids, self.ids_at, self.ids_n = Grown(np.int32, mark), Grown(np.int64, [0]), Grown(np.int64, [len(mark)])
-        self.first, self.many = Grown(np.int64, [0]), Grown(np.int64, [0])
+        self.ids, self.ids_at, self.ids_n = Grown(np.int32, mark), Grown(np.int32, [0]), Grown(np.int16, [len(mark)])
+        self.first, self.many = Grown(np.int32, [0]), Grown(np.int16, [0])
         #: Candidates, and the nodes in which they are skipped.
         self.codes, self.next = Grown(np.uint16, []), Grown(np.int32, [])
         self.last: tuple[float, set[int]] = (0.0, set())
@@ -362,7 +362,7 @@ class Codec:
         nth = occurrences(text * len(words) + number)
         there = np.flatnonzero(nodes >= 0)
         nodes[there] = self._walk(nodes[there], salts(self.hash.data[nodes[there]], keys[text[there]], nth[there]), dropout)
-        at, n = self.ids_at.data[nodes], self.ids_n.data[nodes]
+        at, n = self.ids_at.data[nodes].astype(np.int64), self.ids_n.data[nodes].astype(np.int64)
         held = self.ids.n
         for i in np.flatnonzero(nodes < 0).tolist():  # long words: behind the remembered ids, for now
             ids = np.array(self.word(words[number[i]].decode().replace(" ", MARK), dropout, int(keys[text[i]]), int(nth[i])), np.int32)
@@ -441,7 +441,9 @@ def _mix_all(x: np.ndarray) -> np.ndarray:
 
 @cache
 def codec(model: bytes) -> Codec:
-    return Codec(model)
+    own = Codec(model)
+    release()  # what making the tables took
+    return own
 
 
 def _groups(column: pa.Array) -> Iterator[tuple[int, int]]:
@@ -465,6 +467,7 @@ def _encode(model, at: int, dropout: float, seed: int, schema: pa.Schema):
                 ids, ends = own.encode_texts(texts, dropout, np.array(keys, np.uint64))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids), mask=pa.array(texts.is_null()) if texts.null_count else None)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists.cast(schema.field(len(part.columns)).type)], schema=schema)
+            release()
 
     return run
 
