@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 
 from ..scratch import materialise, scratch_path, shared_dir
 
-__all__ = ["ascii_lower", "fresh", "in_fold", "materialise", "partitions", "release", "scratch_path", "shared_dir", "sized", "sized_arrays", "table", "tidy", "worker_cpu_bound"]
+__all__ = ["ascii_lower", "fresh", "in_fold", "materialise", "partitions", "release", "scratch_path", "shared_dir", "sized", "sized_arrays", "small_batches", "table", "tidy", "worker_cpu_bound"]
 
 #: Rows that a side may have at most to be broadcast; beyond it the join is shuffled.
 BROADCAST_ROWS = 400_000
 
+#: Bytes of a batch that goes to a Python worker. Spark's own limits (10,000 rows, 64 MB) have the JVM and a worker hold some 20 MB of texts each, more than once.
+BATCH = "4m"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Every A-Z of the specification, and what it becomes.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -69,6 +73,14 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that sends BATCH bytes to a Python worker at once, unless its user has set that limit. The setting is read when the query runs, so it stays; it changes no result."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, BATCH)
+    return df
+
+
 def tidy(run: Callable[[Iterator], Iterator], *forget: Callable[[], None]) -> Callable[[Iterator], Iterator]:
     """A function for mapInArrow that leaves nothing behind in the worker when its partition ends."""
 

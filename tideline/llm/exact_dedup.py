@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, partitions, sized, tidy
+from .common import fresh, materialise, partitions, sized, small_batches, tidy
 
 #: What normalisation deletes: every character of [\x20\x09-\x0D].
 DELETED = b" \t\n\x0b\x0c\r"
@@ -155,7 +155,7 @@ def repeated_fingerprints(keys: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """keys: a row (id, fp, sha, n) for each row of docs. groups: (fp, sha, keep_id, keep_n, group_size) for each text that is there more than once, verified on bytes."""
-    keys = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(_fingerprints), f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint, sha binary, n bigint"), "keys")
+    keys = materialise(small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(_fingerprints), f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint, sha binary, n bigint"), "keys")
     repeated = materialise(repeated_fingerprints(keys), "repeated")
     suspects = materialise(keys.join(sized(repeated), "fp", "left_semi").select("id").distinct(), "suspects")
     bodies = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(sized(suspects.withColumnRenamed("id", "suspect")), F.col("id").eqNullSafe(F.col("suspect")), "left_semi")

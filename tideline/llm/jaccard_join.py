@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, partitions, sized, tidy, worker_cpu_bound
+from .common import fresh, materialise, partitions, sized, small_batches, tidy, worker_cpu_bound
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -298,7 +298,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """A row for each row of docs: id, class_id (the smallest id of all texts joined to it by links), copy_of (the smallest id with the same words), n_links (other rows at or above the threshold, copies included), n_texts (different texts among them)."""
     bands, rows = choose_bands(threshold, recall)
     ids = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed = materialise(texts.mapInArrow(tidy(_sign(n, bands, rows, seed), forget_tables), f"id {ids}, node binary, size bigint, bands array<bigint>"), "signatures")
     # texts of the same words: one node, which has the same bands in every row
     nodes = materialise(signed.filter("size > 0").groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")), "nodes")

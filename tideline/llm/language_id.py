@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, materialise, sized, tidy, worker_cpu_bound
+from .common import in_fold, materialise, sized, small_batches, tidy, worker_cpu_bound
 
 DIMENSIONS = 512
 #: Labelled rows of a language that its prototype is learned from, at most about.
@@ -226,7 +226,7 @@ def prototypes(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, s
     counts = usable.groupBy(F.col(lang_col).alias("lang_")).agg(F.count("*").alias("rows_"))
     drawn = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED)), F.lit(1 << 40)) / (1 << 40) < sample / F.col("rows_")
     usable = usable.select(F.col(lang_col), F.col(text_col), F.col(id_col)).join(sized(materialise(counts, "languages")), F.col(lang_col) == F.col("lang_")).filter(drawn)
-    sums = usable.select(F.col(lang_col), F.col(text_col)).mapInArrow(tidy(_learn(space), space.forget), "lang string, at int, x double").groupBy("lang", "at").agg(F.sum("x").alias("x"))
+    sums = small_batches(usable).select(F.col(lang_col), F.col(text_col)).mapInArrow(tidy(_learn(space), space.forget), "lang string, at int, x double").groupBy("lang", "at").agg(F.sum("x").alias("x"))
     out: dict[str, np.ndarray] = {}
     for row in sums.toLocalIterator():
         out.setdefault(row.lang, np.zeros(space.dimensions))[row.at] = row.x
@@ -255,7 +255,7 @@ def identify(docs: DataFrame, known: dict[str, np.ndarray], keys: list[Column],
     rows = docs.select(*keys, text.alias("text_"))
     profile = np.stack(list(known.values())) if known else np.zeros((1, space.dimensions))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(tidy(_predict(space, list(known), profile), space.forget), f"{schema}, lang_pred string, score double")
+    return small_batches(rows).mapInArrow(tidy(_predict(space, list(known), profile), space.forget), f"{schema}, lang_pred string, score double")
 
 
 def language_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -277,4 +277,4 @@ def with_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             found = next(predict(iter([pa.RecordBatch.from_arrays([batch.column(at)], ["text_"])])))
             yield batch.filter(pa.array([x != "und" for x in found.column(0).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(tidy(keep, space.forget), docs.schema)
+    return small_batches(docs).mapInArrow(tidy(keep, space.forget), docs.schema)

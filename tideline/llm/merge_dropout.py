@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fresh, release, tidy
+from .common import fresh, release, small_batches, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
@@ -477,7 +477,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, dro
     with open(model_path, "rb") as f:  # the driver's copy; executors get it by broadcast
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = T.StructType([*docs.schema.fields, T.StructField(fresh(docs, ids_col), T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(tidy(_encode(model, docs.columns.index(text_col), dropout, seed, to_arrow_schema(schema)), lambda: codec(model.value).forget()), schema)
+    return small_batches(docs).mapInArrow(tidy(_encode(model, docs.columns.index(text_col), dropout, seed, to_arrow_schema(schema)), lambda: codec(model.value).forget()), schema)
 
 
 def _decode(model, at: int, schema: pa.Schema):
@@ -504,7 +504,7 @@ def decode(encoded: DataFrame, ids_col: str = "token_ids", model_path: str = MOD
     with open(model_path, "rb") as f:
         model = encoded.sparkSession.sparkContext.broadcast(f.read())
     schema = T.StructType([*encoded.schema.fields, T.StructField(fresh(encoded, text_col), T.StringType())])
-    return encoded.mapInArrow(tidy(_decode(model, encoded.columns.index(ids_col), to_arrow_schema(schema))), schema)
+    return small_batches(encoded).mapInArrow(tidy(_decode(model, encoded.columns.index(ids_col), to_arrow_schema(schema))), schema)
 
 
 def round_trip(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
@@ -516,7 +516,7 @@ def round_trip(docs: DataFrame, text_col: str = "text", model_path: str = MODEL,
     schema = T.StructType([*with_ids.fields, T.StructField(text, T.StringType())])
     there = _encode(model, docs.columns.index(text_col), dropout, seed, to_arrow_schema(with_ids))
     back = _decode(model, len(docs.columns), to_arrow_schema(schema))
-    return docs.mapInArrow(tidy(lambda batches: back(there(batches)), lambda: codec(model.value).forget()), schema)
+    return small_batches(docs).mapInArrow(tidy(lambda batches: back(there(batches)), lambda: codec(model.value).forget()), schema)
 
 
 def codec_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
