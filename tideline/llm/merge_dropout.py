@@ -44,15 +44,15 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 3
 #: Nodes that a worker remembers.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 MARK = "▁"
 RAW_MARK = MARK.encode()
 #: Letters of a word up to which it is encoded with others, and words that are.
 LONG = 48
 TOGETHER = 4096
 #: Bytes of text that go together (one text at least), and words that go down their trees together.
-BYTES = 1 << 19
-WALK = 1 << 15
+BYTES = 1 << 20
+WALK = 1 << 17
 GOLDEN = 0x9E3779B97F4A7C15
 #: In pairs of pieces: bits of one, and what stands for no piece.
 SIDE = 21
